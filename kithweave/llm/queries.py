@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from . import components, topn
+from . import components, lookalikes, tokens, topn
 
-QUERIES = {"p3_found": topn.p3_found, "p3_ranked": topn.p3_ranked, "p4_found": components.p4_found}
-SQL = {**topn.SQL, **components.SQL}
+QUERIES = {
+    "p3_found": topn.p3_found, "p3_ranked": topn.p3_ranked, "p4_found": components.p4_found, "p5_found": lookalikes.p5_found, "p5_canonical": lookalikes.p5_canonical,
+    "p8_ids": tokens.p8_ids, "p8_counts": tokens.p8_counts,
+}
+SQL = {**topn.SQL, **components.SQL, **lookalikes.SQL, **tokens.SQL}
