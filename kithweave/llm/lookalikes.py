@@ -82,5 +82,5 @@ SQL: dict[str, str] = {
         SELECT DISTINCT source_table, record_id FROM r
         WHERE v IS NOT NULL AND (nfc_normalize(v) <> v OR regexp_matches(v, '[\p{{Cf}}\x{{34F}}\x{{115F}}\x{{1160}}\x{{17B4}}\x{{17B5}}\x{{180B}}-\x{{180D}}\x{{3164}}\x{{FE00}}-\x{{FE0F}}]')
             OR regexp_matches(v, '[\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{202F}}\x{{205F}}\x{{3000}}\x{{2010}}-\x{{2015}}\x{{2212}}\x{{2043}}]') OR regexp_matches(v, '[{_compatibility_class()}]')
-            OR len(list_filter(regexp_split_to_array(v, '[ \n\t\r]+'), w -> regexp_matches(w, '\p{{Latin}}') AND regexp_matches(w, '[^\P{{L}}\p{{Latin}}]'))) > 0)"""
+            OR len(list_filter(regexp_split_to_array(v, '[ \n\t\r]+'), lambda w: regexp_matches(w, '\p{{Latin}}') AND regexp_matches(w, '[^\P{{L}}\p{{Latin}}]'))) > 0)"""
 }
