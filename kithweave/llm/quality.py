@@ -16,17 +16,17 @@ from pyspark.sql import functions as F
 
 from ..runtime import bounded_rows, cut, table
 
-_MATH = re.compile(r"\$\$[^$]*\$\$|\$[^$]*\$|\\\[.*?\\\]|\\begin\{(equation|align|eqnarray|displaymath|gather|multline)(\*?)\}.*?\\end\{\1\2\}", re.S)
+_MATH = re.compile(r"\$\$[^$]*\$\$|\$[^$\n]*(?:\n[^$\n]+)?\$|\\\[.*?\\\]|\\begin\{(equation|align|eqnarray|displaymath|gather|multline)(\*?)\}.*?\\end\{\1\2\}", re.S)
 _COMMAND = re.compile(r"\\[A-Za-z@]+\*?(?:\[[^\]\n]*\])?(?:\{[^{}\n]*\})?|[{}~%]")
 _WORD = re.compile(r"[^\W\d_]+")
 _ENTRY = re.compile(r"\s*(?:\\item|\\bibitem|\\contentsline|[-*+•]\s|\d+[.)])")
-_ROW = re.compile(r"\\\\\s*(?:\\hline)?\s*$|\|.*\||\t.*\t|;.*;.*;")
+_ROW = re.compile(r"&.*\\\\|\|.*\||\t.*\t|;.*;.*;|^[^,]*(?:,\s*\d+)+\s*$|\.{4}|\\dotfill|(?:-?\d[\d.]*\s*[,;]\s*){2}|^\s*\w+\s*=\s*[{\"]|^\s*@\w+\{")
 _SENTENCE = re.compile(r"[.!?…](?=[\s\"'”»)]|$)")
 _SHUFFLED = re.compile(r"(?<=[^\W\d_A-ZА-ЯÀ-Þ] )([A-ZА-ЯÀ-Þ][^\W\d_]*)")
 #: Words of a window in which repetition is measured, so that long texts aren't taken for repetitive.
 WINDOW_WORDS = 300
 #: Robust z-score beyond which a tail is far, documents that a language needs for quantiles of its own, accuracy of the sketches.
-FAR, LEAST_DOCUMENTS, SKETCH_K = 5.0, 100, 200
+FAR, LEAST_DOCUMENTS, SKETCH_K = 4.0, 100, 200
 #: A share of common words from which they tell the language.
 TELLING_SHARE = 0.2
 
@@ -42,7 +42,8 @@ def text_statistics(text: str | None, common: dict[str, frozenset[str]], declare
     if text is None or not text.strip():
         return None
     text = text.replace("\r\n", "\n").replace("\r", "\n")
-    body = _COMMAND.sub(" ", _MATH.sub(" x ", text)) if "\\" in text or "$" in text else text
+    plain = _MATH.sub(" ", text) if "\\" in text or "$" in text else text
+    body = _COMMAND.sub(" ", plain) if "\\" in plain else plain
     words = _WORD.findall(body)
     n = len(words)
     low = [w.lower() for w in words]
@@ -55,9 +56,10 @@ def text_statistics(text: str | None, common: dict[str, frozenset[str]], declare
     share = hits / n if n else 0.0
     name = (declared or "").strip().lower()[:2]
     language = best if share >= TELLING_SHARE else name if name in common else "und"
-    lines = [x for x in text.split("\n") if x.strip()]
+    lines = [x for x in plain.split("\n") if x.strip()]
     entry = sum(len(x) for x in lines if _ENTRY.match(x))
     row = sum(len(x) for x in lines if _ROW.search(x))
+    kept = max(1, sum(map(len, lines)))
     listed = common.get(best, frozenset())
     misplaced = sum(m.lower() in listed for m in _SHUFFLED.findall(body))
     fresh, of = 0, 0
@@ -72,8 +74,8 @@ def text_statistics(text: str | None, common: dict[str, frozenset[str]], declare
     alnum = sum(map(str.isalnum, text))
     return {
         "n_chars": size, "n_words": n, "n_lines": len(lines), "mean_word_length": letters / n if n else 0.0, "symbol_ratio": (size - alnum - blanks) / size, "digit_ratio": digits / size,
-        "upper_ratio": sum(w[0].isupper() for w in words) / n if n else 0.0, "punctuated_lines": sum(x.rstrip()[-1] in ".!?;:,…。" for x in lines) / len(lines), "common_share": share,
-        "entry_share": entry / size, "row_share": row / size, "word_density": n / size, "n_sentences": sentences, "sentence_rate": sentences / n if n else 0.0,
+        "upper_ratio": sum(w[0].isupper() for w in words) / n if n else 0.0, "punctuated_lines": sum(x.rstrip()[-1] in ".!?;:,…。" for x in lines) / max(1, len(lines)), "common_share": share,
+        "entry_share": entry / kept, "row_share": row / kept, "word_density": n / size, "n_sentences": sentences, "sentence_rate": sentences / n if n else 0.0,
         "misplaced_capitals": misplaced / n if n else 0.0, "fresh_trigrams": fresh / of if of else 1.0, "language": language,
     }
 
@@ -108,8 +110,9 @@ _SCALED = {
     "common": ("common_share", 0.02),
     "sentences": ("ln((n_sentences + 0.5D) / greatest(n_words, 1))", 0.2),
     "entries": ("entry_share", 0.08),
+    "rows": ("row_share", 0.1),
     "capitals": ("misplaced_capitals", 0.003),
-    "density": ("ln((n_words + 0.5D) / n_chars)", 0.25),
+    "density": ("ln((n_words + 0.5D) / n_chars)", 0.5),
     "fresh": ("ln(fresh_trigrams + 0.001D)", 0.2),
 }
 
@@ -137,6 +140,7 @@ def quality(stats: DataFrame) -> DataFrame:
         "common": lambda m: F.sqrt(m * (1 - m) / n),
         "sentences": lambda m: 1 / F.sqrt(n * F.exp(m) + 0.5),
         "entries": lambda m: F.lit(0.0),
+        "rows": lambda m: F.lit(0.0),
         "capitals": lambda m: F.sqrt(0.003 / n),
         "density": lambda m: F.lit(0.0),
         "fresh": lambda m: 1 / F.sqrt(n),
@@ -151,7 +155,7 @@ def quality(stats: DataFrame) -> DataFrame:
     keep = [c for c in stats.columns]
     scored = joined.select(*keep, *out)
     junk = (
-        (F.abs("z_common") > FAR) | (F.col("z_sentences") < -FAR) | (F.col("z_entries") > FAR) | (F.col("z_capitals") > FAR) | (F.col("z_density") < -FAR) | (F.col("z_fresh") < -FAR)
+        (F.abs("z_common") > FAR) | (F.col("z_sentences") < -FAR) | (F.col("z_entries") > FAR) | (F.col("z_rows") > FAR) | (F.col("z_capitals") > FAR) | (F.col("z_density") < -FAR) | (F.col("z_fresh") < -FAR)
     )
     return scored.withColumn("is_prose", F.when(F.col("n_chars").isNotNull(), ~junk))
 

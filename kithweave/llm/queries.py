@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import components, lookalikes, tokens, topn
+from . import components, lookalikes, quality, tokens, topn
 
 QUERIES = {
     "p3_found": topn.p3_found, "p3_ranked": topn.p3_ranked, "p4_found": components.p4_found, "p5_found": lookalikes.p5_found, "p5_canonical": lookalikes.p5_canonical,
     "p8_ids": tokens.p8_ids, "p8_counts": tokens.p8_counts,
+    "p10_found": quality.p10_found, "p10_statistics": quality.p10_statistics,
 }
-SQL = {**topn.SQL, **components.SQL, **lookalikes.SQL, **tokens.SQL}
+SQL = {**topn.SQL, **components.SQL, **lookalikes.SQL, **tokens.SQL, **quality.SQL}
