@@ -18,9 +18,12 @@ from ..runtime import table
 NOT_ASCII = r"[^\x00-\x7F]"
 
 
-@F.pandas_udf("mapped string, odd boolean")
-def _map(values: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame({"mapped": [None if v is None else unify(v) for v in values], "odd": [None if v is None else looks_odd(v) for v in values]})
+def _map(column):
+    @F.pandas_udf("mapped string, odd boolean")
+    def run(values: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"mapped": [None if v is None else unify(v) for v in values], "odd": [None if v is None else looks_odd(v) for v in values]})
+
+    return run(column)
 
 
 def canonical_values(rows: DataFrame, value: str = "value") -> DataFrame:
