@@ -39,8 +39,8 @@ NICKNAMES = {
 }
 #: Typing errors between two main words (an adjacent swap is one), and the least length of a word that may hold one.
 ERRORS, LEAST_LENGTH = 1, 5
-#: A word in more than this share of the names, and more than so many, is common: no main word. The share bounds how many there are.
-COMMON_SHARE, COMMON_LEAST = 1 / 2000, 20
+#: A word beside more different words than this share of the names, and than so many, is common: no main word. The share bounds how many there are.
+COMMON_SHARE, COMMON_LEAST = 1 / 5000, 15
 #: Words of a trie; a shard with more is split into blocks, and its words are looked up in each.
 TRIE_WORDS = 20_000
 
@@ -88,6 +88,23 @@ def single_names(values: DataFrame, known: list[str]) -> DataFrame:
     return values.withColumn("_p", parse("value")).select("value", "_p.words", "_p.nick").where(F.size("words") > 0)
 
 
+def common_words(names: DataFrame) -> list[str]:
+    """Words of `words` that stand beside many different words, as given names do; surnames stand beside few, however often they occur."""
+    names = names.select("words").distinct()
+    total = names.count()
+    long = names.select(F.filter("words", lambda w: F.length(w) > 1).alias("words"))
+    beside = long.select(F.explode("words").alias("w"), "words").select("w", F.explode("words").alias("o")).where("w <> o").distinct()
+    counted = beside.groupBy("w").count().where(F.col("count") > max(COMMON_LEAST, total * COMMON_SHARE))
+    return [r["w"] for r in bounded_rows(counted.select("w"), 200_000, "common words")] + sorted(ACT_WORDS)
+
+
+def main_word(common: list[str]):
+    """Of the column `words`: the longest one that isn't common, the last by code point among equals."""
+    rare = F.filter("words", lambda w: ~w.isin(common) & (F.length(w) > 1))
+    pool = F.when(F.size(rare) > 0, rare).otherwise(F.col("words"))
+    return F.array_max(F.transform(pool, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+
+
 def build_trie(words) -> dict:
     root: dict = {}
     for w in words:
@@ -190,15 +207,7 @@ def link_names(values: DataFrame, known: list[str]) -> DataFrame:
     values: a column `value`. Null and empty values, placeholders and fields of several names give no row; an empty table gives an empty result.
     """
     parsed = cut(single_names(values.where("value is not null and trim(value) <> ''").distinct(), known))
-    total = parsed.count()
-    counted = parsed.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").count()
-    least = max(COMMON_LEAST, total * COMMON_SHARE)
-    # words in more than 1/2000 of the names: at most 2,000 times the mean number of words
-    common = [r["w"] for r in bounded_rows(counted.where(F.col("count") > least).select("w"), 200_000, "common words")] + sorted(ACT_WORDS)
-    rare = F.filter("words", lambda w: ~w.isin(common) & (F.length(w) > 1))
-    pool = F.when(F.size(rare) > 0, rare).otherwise(F.col("words"))
-    main = F.array_max(F.transform(pool, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    named = parsed.select("value", "words", "nick", main.alias("main"))
+    named = parsed.select("value", "words", "nick", main_word(common_words(parsed)).alias("main"))
     others = F.array_except("words", F.array("main"))
     full = F.filter(others, lambda w: F.length(w) > 1)
     rest = F.when(F.size(full) > 0, F.array_join(full, "")).otherwise(F.coalesce(F.get(others, F.lit(0)), F.lit("")))
