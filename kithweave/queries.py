@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from .operators import skew, split
+from .plans import reference
 
-QUERIES = {"p6_found": skew.p6_found, "p6_title_stats": skew.p6_title_stats, "p7_found": split.p7_found, "p7_all_names": split.p7_all_names}
-SQL = {**skew.SQL}
-FLAGSHIP = "p6_title_stats"
+QUERIES = {"p6_found": skew.p6_found, "p6_title_stats": skew.p6_title_stats, "p7_found": split.p7_found, "p7_all_names": split.p7_all_names, **reference.QUERIES}
+SQL = {**skew.SQL, **reference.SQL}
+FLAGSHIP = "ref_title_matches"
