@@ -26,7 +26,8 @@ def names_udf(known: list[str]):
         f = state["f"]
         return pd.Series([list(f(v)) if v is not None else [] for v in s], dtype=object)
 
-    return parts
+    # else a filter on the result moves below a distinct, and each repeated row is split
+    return parts.asNondeterministic()
 
 
 def known_names(spark, sf_dir: str) -> list[str]:
