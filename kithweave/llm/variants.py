@@ -85,7 +85,7 @@ def single_names(values: DataFrame, known: list[str]) -> DataFrame:
             nicks.append(n)
         return pd.DataFrame({"words": words, "nick": nicks})
 
-    return values.withColumn("_p", parse("value")).select("value", "_p.words", "_p.nick").where(F.size("words") > 0)
+    return values.withColumn("_p", parse.asNondeterministic()("value")).select("value", "_p.words", "_p.nick").where(F.size("words") > 0)
 
 
 def common_words(names: DataFrame) -> list[str]:
