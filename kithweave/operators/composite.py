@@ -27,7 +27,7 @@ def expand_names(df: DataFrame, name: str, entity: str, quotes_split: bool = Fal
 def count_parts(df: DataFrame, record: str) -> DataFrame:
     """With part_ct, the parts of the row, and total_names, the distinct names of the record (of VARIANT rows too)."""
     totals = df.groupBy(record).agg(F.count_distinct(F.when(F.trim("normalized_name") != "", F.col("normalized_name"))).alias("total_names"))
-    return df.withColumn("part_ct", F.size("delimited_parts")).join(totals, record)
+    return df.withColumn("part_ct", F.size("delimited_parts").cast("bigint")).join(totals, record)
 
 
 def part_scores(a: DataFrame, m: DataFrame, pairs: DataFrame, scorer: str = "names", least: float = LEAST_PART) -> DataFrame:

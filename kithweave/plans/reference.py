@@ -105,7 +105,7 @@ def ref_title_matches(spark, d):
     return title_matches(spark, d)
 
 
-@query(f"WITH {_COMBINED} SELECT iswc_match, count(*) AS n_rows, count(DISTINCT apra_work_id) AS n_works, count(DISTINCT track_id) AS n_tracks, count(DISTINCT rdc_works_id) AS n_pairs, sum(CASE WHEN score = 100 THEN 1 ELSE 0 END) AS n_exact, round(avg(score), 6) AS mean_score FROM t GROUP BY iswc_match")
+@query(f"WITH {_COMBINED} SELECT iswc_match, count(*) AS n_rows, count(DISTINCT apra_work_id) AS n_works, count(DISTINCT track_id) AS n_tracks, count(DISTINCT rdc_works_id) AS n_pairs, CAST(sum(CASE WHEN score = 100 THEN 1 ELSE 0 END) AS BIGINT) AS n_exact, round(avg(score), 6) AS mean_score FROM t GROUP BY iswc_match")
 def ref_title_match_stats(spark, d):
     return title_matches(spark, d).groupBy("iswc_match").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("apra_work_id").alias("n_works"), F.count_distinct("track_id").alias("n_tracks"), F.count_distinct("rdc_works_id").alias("n_pairs"), F.sum(F.when(F.col("score") == 100, 1).otherwise(0)).alias("n_exact"), F.round(F.avg("score"), 6).alias("mean_score"))
 
@@ -376,7 +376,7 @@ def ref_composers_per_work(spark, d):
 
 
 @query("""SELECT count(*) AS n_rows, count(DISTINCT apra_work_id) AS n_works, count(DISTINCT muzooka_track_id) AS n_tracks, count(DISTINCT (apra_work_id, muzooka_track_id)) FILTER (WHERE apra_work_id IS NOT NULL AND muzooka_track_id IS NOT NULL) AS n_pairs,
-    sum(CASE WHEN iswc_match THEN 1 ELSE 0 END) AS n_iswc, round(avg(match_score), 9) AS mean_score, round(avg(CASE WHEN iswc_match THEN 1.0 ELSE 0.0 END), 9) AS share_iswc, min(match_score) AS least, max(match_score) AS most FROM title_matches_lsh""")
+    CAST(sum(CASE WHEN iswc_match THEN 1 ELSE 0 END) AS BIGINT) AS n_iswc, round(avg(match_score), 9) AS mean_score, round(avg(CASE WHEN iswc_match THEN 1.0 ELSE 0.0 END), 9) AS share_iswc, min(match_score) AS least, max(match_score) AS most FROM title_matches_lsh""")
 def ref_match_statistics(spark, d):
     yes = F.coalesce(F.col("iswc_match"), F.lit(False))
     return table(spark, d, "title_matches_lsh").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("apra_work_id").alias("n_works"), F.count_distinct("muzooka_track_id").alias("n_tracks"), F.count_distinct("apra_work_id", "muzooka_track_id").alias("n_pairs"), F.sum(F.when(yes, 1).otherwise(0)).alias("n_iswc"), F.round(F.avg("match_score"), 9).alias("mean_score"), F.round(F.avg(F.when(yes, 1.0).otherwise(0.0)), 9).alias("share_iswc"), F.min("match_score").alias("least"), F.max("match_score").alias("most"))

@@ -49,6 +49,13 @@ def bounded_rows(df: DataFrame, most: int, what: str) -> list:
     return rows
 
 
+def bounded_sample(df: DataFrame, most: int, keys: list[str]) -> list:
+    """About `most` rows, chosen by the hash of their keys, so the same on every run; no more than twice as many reach the driver."""
+    n = df.count()
+    share = F.lit(min(1.0, most / n if n else 1.0) * 1_000_003)
+    return df.where(F.pmod(F.xxhash64(*keys), F.lit(1_000_003)) < share).limit(2 * most).collect()
+
+
 def clean_id(name: str):
     """Ids of title_matches_lsh come padded and in either letter case; blank ones count as missing."""
     c = F.upper(F.trim(F.col(name)))
