@@ -113,3 +113,26 @@ def test_unify():
     for s in ("ＦＵＬＬ", "VIKТОR", "A​B", "CAFÉ", "A B", "EVA‐MARIA"):
         assert looks_odd(s) and not looks_odd(unify(s))
     assert not looks_odd("CAFÉ") and not looks_odd("НИНА КОРДАЕВ") and not looks_odd("A  B") and bare("Ñandú") == "NANDU"
+
+
+def test_brackets():
+    assert titles.drop_unmatched("a (b] c) [d]") == "a (b c) [d]"
+    assert titles.drop_unmatched(") a (b") == "a b" and titles.balance("a (b") == "a (b)" and titles.balance("a) b") == "a b" and titles.balance("(a]") == "(a)"
+    assert titles.drop_articles("The end of a") == "end of"
+
+
+def test_acts():
+    from kithweave.functions import acts
+
+    assert acts.array_score(["ANNA LEE", "BEN ROW"], ["LEE ANNA"]) == 0.5 and acts.array_score([], ["X"]) == 0.0
+    assert acts.point_similarity("JOHN SMITH", "SMITH JOHN") == 1.0 and acts.point_similarity("JOHN SMITH", "J SMITH") == pytest.approx(2.5 / 3) and acts.point_similarity(None, "X") == 0
+    assert acts.composition_ratio("JOHN SMITH", "SMITH") == pytest.approx(2 / 3) and acts.composition_ratio("A B", "C D") == 0
+    assert acts.variant_flags("ANNA LEE & BEN ROW", "BEN ROW") == ("VARIANT", "ORIGINAL") and acts.variant_flags(None, "X") == ("ORIGINAL", "ORIGINAL")
+
+
+def test_words_and_lists(spark):
+    from kithweave.functions import acts
+
+    df = spark.createDataFrame([("COLOUR AND U", '["a", "b"]'), (None, None)], "s string, j string")
+    got = df.select(acts.map_words(F.col("s"), {"COLOUR": "COLOR", "U": "YOU"}), acts.parts_from_json(F.col("j"))).collect()
+    assert [tuple(r) for r in got] == [("COLOR AND YOU", ["a", "b"]), (None, [])]
