@@ -122,7 +122,17 @@ token_set_col, weighted_ratio_col, sequence_col, crude_col = _column(token_set_r
 
 
 def may_reach(a, b, least: float):
-    """A lossless test before Jaro-Winkler >= least: the lengths must allow it (Jaro is at most (2 + shorter/longer) / 3 and the prefix adds at most 0.4 of the rest)."""
+    """A lossless test before Jaro-Winkler >= least, inside the JVM.
+
+    No more characters can match than either text shares with the other, so Jaro is at most (m / length + m / other length + 1) / 3; and the common
+    prefix of p characters tells which Jaro is needed.
+    """
     share = max(0.0, 3 * (least - 0.4) / 0.6 - 2)
     x, y = F.length(a), F.length(b)
-    return F.least(x, y) >= share * F.greatest(x, y) - 1e-9
+    a_, b_ = F.col(a) if isinstance(a, str) else a, F.col(b) if isinstance(b, str) else b
+    lengths = F.least(x, y) >= share * F.greatest(x, y) - 1e-9
+    m = F.least(x - F.length(F.call_function("translate", a_, b_, F.lit(""))), y - F.length(F.call_function("translate", b_, a_, F.lit(""))))
+    p = F.lit(0)
+    for n in (1, 2, 3, 4):
+        p = F.when((x >= n) & (y >= n) & (F.substring(a_, 1, n) == F.substring(b_, 1, n)), n).otherwise(p)
+    return lengths & ((m / x + m / y + 1) / 3 >= (least - 0.1 * p) / (1 - 0.1 * p) - 1e-9)
