@@ -11,7 +11,7 @@ from ..functions.people import match_names_col
 from ..functions.similarity import crude_col, jaro_winkler_col, jaro_winkler_half_col, sequence_col, token_set_col, weighted_ratio_col
 from ..functions.titles import title_variants_col
 from ..operators import assignment, blocking, composite, ids, linkage
-from ..runtime import clean_id, table
+from ..runtime import clean_id, cut, table
 from ..sources import tables as src
 from ..sources.sinks import merge_update
 
@@ -189,6 +189,22 @@ def iswc_pairs(spark, d) -> DataFrame:
     return _codes(table(spark, d, "adcworks"), "apra_work_id").join(_codes(table(spark, d, "tracks"), "track_id"), "iswc").select("apra_work_id", "track_id", "iswc").distinct()
 
 
+_TITLE_PAIRS = f"pairs AS (WITH {_COMBINED} SELECT DISTINCT apra_work_id, track_id FROM t)"
+
+
+def title_pairs(spark, d, matches: DataFrame | None = None) -> DataFrame:
+    """(apra_work_id, track_id), track ids in upper case: the pairs of works and tracks of equal or similar titles, from `matches` where they are at hand."""
+    if matches is None:
+        a, m = _aa(spark, d), _mm(spark, d)
+        matches = linkage.exact_titles(a, m).unionByName(linkage.prefix_block_titles(a, m))
+    return matches.select("apra_work_id", F.upper("track_id").alias("track_id")).distinct()
+
+
+def code_pairs(spark, d) -> DataFrame:
+    """The same of the pairs of equal identifiers."""
+    return iswc_pairs(spark, d).select("apra_work_id", F.upper("track_id").alias("track_id")).distinct()
+
+
 @query(f"WITH {_PAIRS} SELECT apra_work_id, track_id, iswc FROM pairs")
 def ref_iswc_join(spark, d):
     return iswc_pairs(spark, d)
@@ -208,11 +224,11 @@ def ref_common_codes(spark, d):
 _ISRC = "upper(replace(replace(trim(isrc), '-', ''), ' ', ''))[1:12]"
 
 
-def _isrc_matches(spark, d, keep_all: bool):
+def _isrc_matches(spark, d, keep_all: bool, pairs: DataFrame):
     """The recordings whose identifier a work has are its side of codes; they meet the codes of the tracks matched to the work."""
     rec = table(spark, d, "recordings").select(clean_id("track_id").alias("track_id"), F.col("isrc"), S.isrc_key(F.col("isrc")).alias("key"), S.iswc_key(F.col("iswc")).alias("iswc")).where("isrc is not null").distinct()
     own = _codes(table(spark, d, "adcworks"), "apra_work_id").join(rec.select("iswc", F.col("key").alias("apra_isrc")).distinct(), "iswc").select("apra_work_id", "apra_isrc").distinct()
-    j = iswc_pairs(spark, d).select("apra_work_id", F.upper("track_id").alias("track_id")).distinct().join(own, "apra_work_id").join(rec.select("track_id", F.col("key").alias("muzooka_isrc")).distinct(), "track_id")
+    j = pairs.join(own, "apra_work_id").join(rec.select("track_id", F.col("key").alias("muzooka_isrc")).distinct(), "track_id")
     j = j.select("apra_work_id", "track_id", "apra_isrc", "muzooka_isrc", S.same_flag(F.col("apra_isrc"), F.col("muzooka_isrc")).alias("isrc_match")).distinct()
     return j if keep_all else j.where("isrc_match = 'Y'")
 
@@ -225,12 +241,26 @@ _ISRC_SQL = f"""{_PAIRS}, rec AS (SELECT DISTINCT upper(trim(track_id)) AS track
 
 @query(f"WITH {_ISRC_SQL} SELECT * FROM j WHERE isrc_match = 'Y'")
 def ref_isrc_matches(spark, d):
-    return _isrc_matches(spark, d, False)
+    return _isrc_matches(spark, d, False, code_pairs(spark, d))
 
 
 @query(f"WITH {_ISRC_SQL} SELECT * FROM j")
 def ref_isrc_flags(spark, d):
-    return _isrc_matches(spark, d, True)
+    return _isrc_matches(spark, d, True, code_pairs(spark, d))
+
+
+_TITLE_ISRC_SQL = _ISRC_SQL.replace(_PAIRS, f"wi AS (SELECT DISTINCT apra_work_id, {_ISWC} AS iswc FROM adcworks), {_TITLE_PAIRS}")
+
+
+@query(f"WITH {_TITLE_ISRC_SQL} SELECT * FROM j WHERE isrc_match = 'Y'")
+def ref_title_isrc_matches(spark, d):
+    """Equal codes of recordings over the pairs of matched titles, as the final table has them."""
+    return _isrc_matches(spark, d, False, title_pairs(spark, d))
+
+
+@query(f"WITH {_TITLE_ISRC_SQL} SELECT * FROM j")
+def ref_title_isrc_flags(spark, d):
+    return _isrc_matches(spark, d, True, title_pairs(spark, d))
 
 
 @query(f"SELECT DISTINCT recordings_id, {_ISRC} AS isrc_key FROM recordings WHERE isrc IS NOT NULL")
@@ -279,8 +309,7 @@ def _side(df, record, entity, name):
     return composite.count_parts(composite.expand_names(rows, "nm", "artist", parts=F.array_distinct(S.slash_parts(F.col("nm")))), "rec")
 
 
-def _composite_inputs(spark, d, kind):
-    pairs = iswc_pairs(spark, d).select("apra_work_id", F.upper("track_id").alias("track_id")).distinct()
+def _composite_inputs(spark, d, kind, pairs):
     if kind == "composers":
         a = _side(table(spark, d, "adc_composers"), "apra_work_id", "adc_composer_id", "name")
         m = _side(table(spark, d, "composers").withColumn("track_id", clean_id("track_id")), "track_id", "composer_id", "composer")
@@ -316,7 +345,7 @@ _TRACK = "nullif(upper(trim(track_id)), '')"
     SELECT e.apra_work_id, e.track_id, e.entity_id, round(e.name_match_score, 6) AS name_match_score, parts_matched, apra_total, muzooka_total, round(t.sh, 6) AS composer_match_share FROM e JOIN t USING (apra_work_id, track_id)""")
 def ref_composer_parts(spark, d):
     """Composers part by part, parts compared by Jaro-Winkler."""
-    return composite.match_composers(*_composite_inputs(spark, d, "composers"), scorer="jaro_winkler")
+    return composite.match_composers(*_composite_inputs(spark, d, "composers", code_pairs(spark, d)), scorer="jaro_winkler")
 
 
 @query(f"""WITH {_composite_sql(("adcartists", "apra_work_id", "adc_artist_id", "name"), ("recordings", _TRACK, "recordings_id", "artist_name"))},
@@ -327,19 +356,31 @@ def ref_composer_parts(spark, d):
     SELECT r.apra_work_id, r.track_id, r.entity_id, r.normalized_name, r.apra_total, r.muzooka_total, r.apra_part_ct, r.muzooka_part_ct, round(r.part_match_score, 6) AS part_match_score, r.name_match_score, t.artist_match_total FROM r JOIN t USING (apra_work_id, track_id)""")
 def ref_artist_parts(spark, d):
     """Artists part by part, parts compared by Jaro-Winkler."""
-    return composite.match_artists(*_composite_inputs(spark, d, "artists"), scorer="jaro_winkler")
+    return composite.match_artists(*_composite_inputs(spark, d, "artists", code_pairs(spark, d)), scorer="jaro_winkler")
+
+
+@query(SQL["ref_composer_parts"].replace(_PAIRS, _TITLE_PAIRS))
+def ref_title_composer_parts(spark, d):
+    """As ref_composer_parts, over the pairs of matched titles."""
+    return composite.match_composers(*_composite_inputs(spark, d, "composers", title_pairs(spark, d)), scorer="jaro_winkler")
+
+
+@query(SQL["ref_artist_parts"].replace(_PAIRS, _TITLE_PAIRS))
+def ref_title_artist_parts(spark, d):
+    """As ref_artist_parts, over the pairs of matched titles."""
+    return composite.match_artists(*_composite_inputs(spark, d, "artists", title_pairs(spark, d)), scorer="jaro_winkler")
 
 
 @query()
 def ref_composer_names(spark, d):
-    """Composers part by part, parts compared over all readings of the names."""
-    a, m, pairs = _composite_inputs(spark, d, "composers")
+    """Composers of matched titles part by part, parts compared over all readings of the names."""
+    a, m, pairs = _composite_inputs(spark, d, "composers", title_pairs(spark, d))
     return composite.match_composers(a, m, pairs)
 
 
 @query()
 def ref_artist_names(spark, d):
-    a, m, pairs = _composite_inputs(spark, d, "artists")
+    a, m, pairs = _composite_inputs(spark, d, "artists", title_pairs(spark, d))
     return composite.match_artists(a, m, pairs)
 
 
@@ -447,12 +488,21 @@ def ref_truncated(spark, d):
     FROM pairs p JOIN adc_composers c ON c.apra_work_id = p.apra_work_id JOIN mi ON mi.track_id = upper(p.track_id)""")
 def ref_published_composers(spark, d):
     """A row for each matched pair, composer and answer to whether a composer of the track has the same identifier."""
+    return _published_composers(spark, d, code_pairs(spark, d))
+
+
+def _published_composers(spark, d, pairs):
     m = table(spark, d, "composers").select(clean_id("track_id").alias("track_id"), F.col("ipi").alias("m_ipi")).distinct()
-    p = iswc_pairs(spark, d).select("apra_work_id", F.upper("track_id").alias("track_id")).distinct()
-    j = p.join(table(spark, d, "adc_composers").select("apra_work_id", "adc_composer_id", "ipi"), "apra_work_id").join(m, "track_id")
+    j = pairs.join(table(spark, d, "adc_composers").select("apra_work_id", "adc_composer_id", "ipi"), "apra_work_id").join(m, "track_id")
     return j.select("apra_work_id", "track_id", "adc_composer_id", "ipi", S.same_flag(F.col("ipi"), F.col("m_ipi")).alias("ipi_match")).distinct()
 
 
+@query(SQL["ref_published_composers"].replace(_PAIRS, _TITLE_PAIRS))
+def ref_title_published_composers(spark, d):
+    """As ref_published_composers, over the pairs of matched titles."""
+    return _published_composers(spark, d, title_pairs(spark, d))
+
+
 _COMPOSER_SHARE = SQL["ref_composer_parts"].replace("WITH ", "", 1)
 _ARTIST_TOTAL = SQL["ref_artist_parts"].replace("WITH ", "", 1)
 
@@ -462,17 +512,40 @@ _ARTIST_TOTAL = SQL["ref_artist_parts"].replace("WITH ", "", 1)
     FROM t JOIN (SELECT DISTINCT apra_work_id, track_id, round(composer_match_share * 100, 4) AS share FROM cs) cs ON cs.apra_work_id = t.apra_work_id AND cs.track_id = upper(t.track_id)
     JOIN (SELECT DISTINCT apra_work_id, track_id, artist_match_total AS total FROM ar) ar ON ar.apra_work_id = t.apra_work_id AND ar.track_id = upper(t.track_id)""")
 def ref_published_works(spark, d):
-    """Title matches with the scores of their composers and artists, as the final table has them."""
-    t = title_matches(spark, d).withColumn("up", F.upper("track_id"))
-    c = ref_composer_parts(spark, d).select("apra_work_id", F.col("track_id").alias("up"), F.round(F.col("composer_match_share") * 100, 4).alias("composer_score")).distinct()
-    r = ref_artist_parts(spark, d).select("apra_work_id", F.col("track_id").alias("up"), F.col("artist_match_total").alias("artist_score")).distinct()
+    """Title matches that share an identifier, with the scores of their composers and artists; ref_title_published_works has all title matches."""
+    return _published_works(title_matches(spark, d), ref_composer_parts(spark, d), ref_artist_parts(spark, d))
+
+
+def _published_works(matches, composers, artists):
+    t = matches.withColumn("up", F.upper("track_id"))
+    c = composers.select("apra_work_id", F.col("track_id").alias("up"), F.round(F.col("composer_match_share") * 100, 4).alias("composer_score")).distinct()
+    r = artists.select("apra_work_id", F.col("track_id").alias("up"), F.col("artist_match_total").alias("artist_score")).distinct()
     return t.join(c, ["apra_work_id", "up"]).join(r, ["apra_work_id", "up"]).select("rdc_works_id", "apra_work_id", "track_id", F.round(F.col("score") / 100, 6).alias("title_score"), "composer_score", "artist_score", "iswc_match").distinct()
 
 
+@query(SQL["ref_published_works"].replace(_PAIRS, _TITLE_PAIRS))
+def ref_title_published_works(spark, d):
+    """Title matches with the scores of their composers and artists, as the final table has them."""
+    matches = cut(title_matches(spark, d))
+    pairs = title_pairs(spark, d, matches)
+    composers = composite.match_composers(*_composite_inputs(spark, d, "composers", pairs), scorer="jaro_winkler")
+    artists = composite.match_artists(*_composite_inputs(spark, d, "artists", pairs), scorer="jaro_winkler")
+    return _published_works(matches, composers, artists)
+
+
 @query(f"WITH {_PAIRS} SELECT DISTINCT p.apra_work_id, upper(p.track_id) AS track_id, a.adc_artist_id, a.name FROM pairs p JOIN adcartists a ON a.apra_work_id = p.apra_work_id")
 def ref_published_artists(spark, d):
-    p = iswc_pairs(spark, d).select("apra_work_id", F.upper("track_id").alias("track_id")).distinct()
-    return p.join(table(spark, d, "adcartists").select("apra_work_id", "adc_artist_id", "name"), "apra_work_id").distinct()
+    return _published_artists(spark, d, code_pairs(spark, d))
+
+
+def _published_artists(spark, d, pairs):
+    return pairs.join(table(spark, d, "adcartists").select("apra_work_id", "adc_artist_id", "name"), "apra_work_id").distinct()
+
+
+@query(SQL["ref_published_artists"].replace(_PAIRS, _TITLE_PAIRS))
+def ref_title_published_artists(spark, d):
+    """As ref_published_artists, over the pairs of matched titles."""
+    return _published_artists(spark, d, title_pairs(spark, d))
 
 
 @query("SELECT match_id, coalesce(CASE WHEN iswc_match THEN 1.0 END, match_score)::DOUBLE AS score FROM title_matches_lsh")
