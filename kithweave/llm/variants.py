@@ -41,6 +41,8 @@ NICKNAMES = {
 ERRORS, LEAST_LENGTH = 1, 5
 #: A word beside more different words than this share of the names, and than so many, is common: no main word. The share bounds how many there are.
 COMMON_SHARE, COMMON_LEAST = 1 / 5000, 15
+#: A rest beside so many main words at most, or beside this many times fewer than a rest one typing error away, may be that rest mistyped.
+SELDOM, MUCH_RARER = 2, 10
 #: Words of a trie; a shard with more is split into blocks, and its words are looked up in each.
 TRIE_WORDS = 20_000
 
@@ -236,9 +238,11 @@ def link_names(values: DataFrame, known: list[str]) -> DataFrame:
     wide = short.join(near, "a")
     both = exact.select("a", "ra", "b", "rb").unionByName(wide.select("a", "ra", "b", "rb")).join(n2, ["b", "rb"])
     edges = edges.unionByName(edge(both, "a", "ra", "b", "rb"))
-    # 3: equal main word, a rest that hardly any other name has and one typing error from another rest
-    seldom = nodes.join(nodes.groupBy("rest").count().where("count <= 2").select("rest"), "rest").where(F.length("rest") >= 4).select(F.col("main").alias("a"), F.col("rest").alias("ra"))
-    typo = seldom.join(n2, F.col("a") == F.col("b")).where(F.col("ra") != F.col("rb")).where((F.length("rb") >= 4) & _one_typo(F.col("ra"), F.col("rb")))
+    # 3: equal main word, a rest one typing error from another rest that stands beside far more main words, or that hardly any other name has
+    spread = nodes.groupBy("rest").agg(F.count(F.lit(1)).alias("spread"))
+    spelt = nodes.where(F.length("rest") >= 4).join(spread, "rest").select("main", "rest", "spread")
+    x, y = spelt.select(F.col("main").alias("a"), F.col("rest").alias("ra"), F.col("spread").alias("sa")), spelt.select(F.col("main").alias("b"), F.col("rest").alias("rb"), F.col("spread").alias("sb"))
+    typo = x.join(y, F.col("a") == F.col("b")).where((F.col("ra") != F.col("rb")) & ((F.col("sa") <= SELDOM) | (F.col("sa") * MUCH_RARER <= F.col("sb")))).where(_one_typo(F.col("ra"), F.col("rb")))
     edges = edges.unionByName(edge(typo, "a", "ra", "b", "rb"))
     groups = connected_components(edges)
     tagged = cut(nodes.withColumn("node", node).join(groups.withColumnRenamed("record_id", "node"), "node", "left").select("main", "rest", "act", "node", F.coalesce("group_id", "node").alias("entity")))
