@@ -53,9 +53,9 @@ def _rows(spark, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark, sf_dir: str) -> DataFrame:
-    """Rows whose value is not its class's canonical form for an odd character in it; repeated rows count once, null values are no case."""
+    """Rows whose value has an odd character, with or without a known look-alike; repeated rows count once, null values are no case."""
     rows = _rows(spark, sf_dir)
-    changed = canonical_values(rows).where("odd and value <> canonical").select("value")
+    changed = canonical_values(rows).where("odd").select("value")
     return rows.where(F.col("value").rlike(NOT_ASCII)).join(changed, "value", "left_semi").select("source_table", "record_id").distinct()
 
 
