@@ -1,9 +1,9 @@
 """Pairwise matches consolidated into groups.
 
-The giant component is peeled off by frontier breadth-first joins from the vertex of highest degree. What the frontier has reached is anti-joined away;
-the small components that are left take the smallest label by propagation. A breadth-first search takes as many rounds as the component is deep, so
-it stops when its frontier no longer carries its share of the graph; the reached part then stands as one vertex among the rest, whose labels are propagated
-with contraction in a logarithmic number of rounds. That keeps the result exact at any depth.
+The giant component is peeled off by frontier breadth-first joins from the vertex of highest degree; what a frontier touches is anti-joined away. A giant may be deep, a
+chain of thousands of records for one, so once a search has gone some rounds the edges that are left are pulled towards their smallest ends between two rounds: that
+keeps who is connected to whom and halves the distances, and the search ends after logarithmically many rounds, with the whole giant. The components that are left
+take their smallest record by the same pulling, repeated until every one is a star around it.
 """
 
 from __future__ import annotations
@@ -13,38 +13,56 @@ from pyspark.sql import functions as F
 
 from ..runtime import clean_id, cut, drop_cut, table
 
-#: Breadth-first rounds at most, and the share of all edges whose ends a frontier must reach for another round.
-BFS_ROUNDS, FRONTIER_SHARE = 8, 0.01
+#: Breadth-first rounds before the edges that are left are shortened between rounds. Any number gives the same groups.
+PLAIN_ROUNDS = 4
 
 
-def _propagate(edges: DataFrame, most_rounds: int = 60) -> list[DataFrame]:
-    """Labels by minimum propagation with contraction. edges: (a, b), a < b, unique. Returns maps (v, root), to be applied one after the other.
+def _pull(edges: DataFrame) -> DataFrame:
+    """One large-star and one small-star step. edges: (a, b), a < b, unique; so is the result, over the same vertices, connected in the same way.
 
-    A round hooks each vertex to the smallest of its neighbours and itself, follows that pointer once more, and rewrites the edges by it; edges within
-    a group vanish, so each round works on a smaller graph. Star-shaped and small components end in a round or two, chains in logarithmically many.
+    Large star: the larger neighbours of each vertex are linked to the smallest of the vertex and its neighbours instead. Small star: the smaller neighbours of each
+    vertex, and the vertex, are linked to the smallest of them. Both count as many edges at most as before. A vertex's minimum is combined before the shuffle, and the
+    join that hands it out has one row per vertex on its other side, so a hub's edges may be split.
     """
-    maps = []
-    for _ in range(most_rounds):
-        both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(edges.select(F.col("b").alias("v"), F.col("a").alias("u")))
-        low = cut(both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("p")))
-        # p(v) <= v always; pointers strictly fall, so following them twice ends at a smaller or equal vertex
-        up = low.select(F.col("v").alias("_v"), F.col("p").alias("_p"))
-        jumped = low.join(up, low.p == up._v, "left").select("v", F.coalesce("_p", "p").alias("p"))
-        up2 = jumped.select(F.col("v").alias("_v"), F.col("p").alias("_p"))
-        root = cut(jumped.join(up2, jumped.p == up2._v, "left").select("v", F.coalesce("_p", "p").alias("root")))
-        drop_cut(low)
-        maps.append(root)
-        ra, rb = root.select(F.col("v").alias("a"), F.col("root").alias("x")), root.select(F.col("v").alias("b"), F.col("root").alias("y"))
-        nxt = cut(edges.join(ra, "a").join(rb, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        drop_cut(edges)
-        edges = nxt
-        if edges.isEmpty():
-            drop_cut(edges)
-            return maps
-    raise RuntimeError("labels did not settle")
-
-
-def connected_components(pairs: DataFrame, a: str = "a", b: str = "b", bfs_rounds: int = BFS_ROUNDS, frontier_share: float = FRONTIER_SHARE) -> DataFrame:
+    both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(edges.select(F.col("b").alias("v"), F.col("a").alias("u")))
+    low = both.groupBy("v").agg(F.min("u").alias("u")).select(F.col("v").alias("a"), F.least("v", "u").alias("m"))
+    large = cut(edges.join(low, "a").select(F.col("m").alias("a"), "b").distinct())
+    least = large.groupBy("b").agg(F.min("a").alias("m"))
+    held = large.join(least, "b")
+    small = held.where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b")).unionByName(least.select(F.col("m").alias("a"), "b"))
+    out = cut(small.distinct())
+    drop_cut(large)
+    return out
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Is every component a star around its smallest vertex? No vertex is then both a smaller and a larger end, nor the larger end of two edges."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("lo"), F.lit(0).alias("hi")).unionByName(edges.select(F.col("b").alias("v"), F.lit(0).alias("lo"), F.lit(1).alias("hi")))
+    return ends.groupBy("v").agg(F.max("lo").alias("lo"), F.sum("hi").alias("hi")).where("hi > 1 or (lo > 0 and hi > 0)").isEmpty()
+
+
+def _peel(edges: DataFrame, seed: DataFrame, plain_rounds: int) -> tuple[list[DataFrame], DataFrame]:
+    """The vertices of the component of `seed`, by rounds, and the edges of the other components. edges: a cut, which is removed."""
+    found, rest, round_ = [cut(seed)], edges, 0
+    while True:
+        round_ += 1
+        if round_ > plain_rounds:
+            shorter = _pull(rest)
+            drop_cut(rest)
+            rest = shorter
+        a, b = found[-1].withColumnRenamed("v", "a"), found[-1].withColumnRenamed("v", "b")
+        ends = rest.join(a, "a").select(F.col("b").alias("v")).unionByName(rest.join(b, "b").select(F.col("a").alias("v")))
+        fresh = cut(ends.distinct().join(found[-1], "v", "left_anti"))
+        kept = cut(rest.join(a, "a", "left_anti").join(b, "b", "left_anti"))
+        drop_cut(rest)
+        rest = kept
+        if fresh.isEmpty():
+            drop_cut(fresh)
+            return found, rest
+        found.append(fresh)
+
+
+def connected_components(pairs: DataFrame, a: str = "a", b: str = "b", plain_rounds: int = PLAIN_ROUNDS) -> DataFrame:
     """(record_id, group_id) of every record with a link, group_id being the smallest record id of its group by code point.
 
     Pairs with a null end are no links; a pair of a record with itself makes it a group of its own unless other pairs join it; repeated and turned-round pairs count once;
@@ -52,51 +70,26 @@ def connected_components(pairs: DataFrame, a: str = "a", b: str = "b", bfs_round
     """
     raw = pairs.select(F.col(a).cast("string").alias("x"), F.col(b).cast("string").alias("y")).where("x is not null and y is not null")
     links = cut(raw.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    edges = links.where("a <> b")
-    ends = edges.select(F.explode(F.array("a", "b")).alias("v"))
-    top = ends.groupBy("v").count().orderBy(F.desc("count"), "v").limit(1).collect()
+    edges, alone = links.where("a <> b"), links.where("a = b").select(F.col("a").alias("record_id"))
+    top = edges.select(F.explode(F.array("a", "b")).alias("v")).groupBy("v").count().orderBy(F.desc("count"), "v").limit(1).select("v").collect()
     if not top:
-        return links.select(F.col("a").alias("record_id"), F.col("a").alias("group_id"))
-    total = edges.count()
-    seed, reached, frontier, rest = top[0]["v"], None, None, edges
-    # each round: edges touching the frontier leave the rest, their other ends become the next frontier
-    spark = pairs.sparkSession
-    frontier = spark.createDataFrame([(seed,)], "v string")
-    found, size = [cut(frontier)], 1
-    old_rest = None
-    for _ in range(bfs_rounds):
-        fa, fb = found[-1].withColumnRenamed("v", "a").withColumn("ia", F.lit(True)), found[-1].withColumnRenamed("v", "b").withColumn("ib", F.lit(True))
-        marked = cut(rest.join(fa, "a", "left").join(fb, "b", "left"))
-        touched = marked.where("ia or ib")
-        nxt = touched.where("ia is null").select(F.col("a").alias("v")).unionByName(touched.where("ib is null").select(F.col("b").alias("v"))).distinct()
-        nxt = cut(nxt)
-        n = nxt.count()
-        rest = marked.where("ia is null and ib is null").select("a", "b")
-        drop_cut(old_rest)
-        old_rest = marked
-        if not n:
-            break
-        found.append(nxt)
-        size += n
-        if n < frontier_share * total:
-            break
-    # `rest` has no edge inside the reached set but to its last frontier; the reached set becomes one vertex, its smallest id
-    reached = found[0]
+        return alone.select("record_id", F.col("record_id").alias("group_id"))
+    # the first cut stays, as the records linked to themselves are read from it; the others go as they are replaced
+    found, rest = _peel(cut(edges), pairs.sparkSession.createDataFrame(top, "v string"), plain_rounds)
+    giant = found[0]
     for f in found[1:]:
-        reached = reached.unionByName(f)
-    head = reached.agg(F.min("v")).collect()[0][0]
-    hits = reached.select(F.col("v").alias("_h"))
-    ra, rb = hits.withColumnRenamed("_h", "a").withColumn("ia", F.lit(True)), hits.withColumnRenamed("_h", "b").withColumn("ib", F.lit(True))
-    small = rest.join(ra, "a", "left").join(rb, "b", "left")
-    small = small.select(F.when(F.col("ia"), F.lit(head)).otherwise(F.col("a")).alias("x"), F.when(F.col("ib"), F.lit(head)).otherwise(F.col("b")).alias("y")).where("x <> y")
-    small = cut(small.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    maps = [] if small.isEmpty() else _propagate(small)
-    label = reached.select(F.col("v").alias("record_id"), F.lit(head).alias("g"))
-    others = links.select(F.explode(F.array("a", "b")).alias("record_id")).distinct().join(reached.select(F.col("v").alias("record_id")), "record_id", "left_anti")
-    label = label.unionByName(others.select("record_id", F.col("record_id").alias("g")))
-    for m in maps:
-        label = label.join(m.select(F.col("v").alias("g"), "root"), "g", "left").select("record_id", F.coalesce("root", "g").alias("g"))
-    return label.select("record_id", F.col("g").alias("group_id"))
+        giant = giant.unionByName(f)
+    smallest = giant.agg(F.min("v")).collect()[0][0]
+    labels = giant.select(F.col("v").alias("record_id"), F.lit(smallest).alias("group_id"))
+    if not rest.isEmpty():
+        while not _settled(rest):
+            pulled = _pull(rest)
+            drop_cut(rest)
+            rest = pulled
+        stars = rest.select(F.col("b").alias("record_id"), F.col("a").alias("group_id")).unionByName(rest.select(F.col("a").alias("record_id"), F.col("a").alias("group_id")).distinct())
+        labels = labels.unionByName(stars)
+    own = alone.join(labels.select("record_id"), "record_id", "left_anti").select("record_id", F.col("record_id").alias("group_id"))
+    return labels.unionByName(own)
 
 
 def p4_found(spark, sf_dir: str, least_score: float = 0.90) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -38,9 +39,37 @@ def test_shapes_of_components(spark):
     assert groups(spark, pairs) == brute_groups(pairs)
 
 
-def test_deep_giant_beyond_the_search(spark):
-    giant = [("a000", f"a{i:03}") for i in range(1, 40)] + [(f"b{i:03}", f"b{i + 1:03}") for i in range(40)] + [("a005", "b000")]
-    assert groups(spark, giant, bfs_rounds=2, frontier_share=0.0) == brute_groups(giant)
+@pytest.mark.parametrize("plain_rounds", [0, 2, 1000])
+def test_deep_giant(spark, plain_rounds):
+    giant = [("a000", f"a{i:03}") for i in range(1, 20)] + [(f"b{i:03}", f"b{i + 1:03}") for i in range(15)] + [("a005", "b000"), ("x", "y"), ("y", "z"), ("q", "q"), ("b003", "b003")]
+    assert groups(spark, giant, plain_rounds=plain_rounds) == brute_groups(giant)
+
+
+def chain(n, order):
+    ids = [f"{i:06}" for i in range(n)]
+    if order == "shuffled":
+        random.Random(n).shuffle(ids)
+    pairs = list(zip(ids, ids[1:]))
+    return pairs[::-1] if order == "descending" else pairs
+
+
+@pytest.mark.parametrize("order,n", [("ascending", 1000), ("ascending", 5000), ("descending", 5000), ("shuffled", 1000), ("shuffled", 5000)])
+def test_chains_of_any_order(spark, order, n):
+    pairs = chain(n, order)
+    assert groups(spark, pairs) == brute_groups(pairs)
+
+
+def test_many_deep_components(spark):
+    """A broom as the giant, whose hub is neither the smallest nor the largest record, beside chains, a ring and a tree."""
+    rng = random.Random(7)
+    handle = [(f"m{i:04}", f"m{i + 1:04}") for i in range(400)]
+    broom = handle + [("m0200", f"{c}{i:03}") for i in range(300) for c in "az"]
+    chains = [(f"{c}-{x}", f"{c}-{y}") for c in "bcdk" for x, y in chain(150, rng.choice(["ascending", "shuffled"]))]
+    ring = [(f"r{i:03}", f"r{(i * 37 + 37) % 101:03}") for i in range(101)]
+    tree = [(f"t{(i - 1) // 2:03}", f"t{i:03}") for i in range(1, 255)]
+    pairs = broom + chains + ring + tree
+    rng.shuffle(pairs)
+    assert groups(spark, pairs) == brute_groups(pairs)
 
 
 def test_no_pairs(spark):
