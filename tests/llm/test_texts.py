@@ -138,3 +138,58 @@ def test_prose_from_junk(spark):
     assert {d for d, p in got.items() if p is None} == {2000, 2001, 2002}
     empty = quality.document_statistics(spark.createDataFrame([], "doc_id long, text string, lang string"), COMMON)
     assert quality.quality(empty).count() == 0
+
+
+def test_long_blocks_repeated_look_stale():
+    block = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}q" for i in range(600))
+    s = quality.text_statistics(" ".join([block] * 20), COMMON)
+    assert s["fresh_trigrams"] > 0.9 and s["fresh_runs"] < 0.1 and quality.text_statistics(block, COMMON)["fresh_runs"] == 1
+
+
+@pytest.fixture(scope="module")
+def measured(spark):
+    import random
+
+    rng = random.Random(8)
+    return [(i, "en" if i % 3 else "de", rng.gauss(5, 1) if i % 100 else 40.0, rng.expovariate(2), 0.0) for i in range(900)] + [(i, "ru", rng.gauss(5, 1), None, 0.0) for i in range(900, 905)] + [(990, None, 5.0, 1.0, 3.0)]
+
+
+def test_flags_do_not_depend_on_the_unit(spark, measured):
+    def far(factor, shift):
+        df = spark.createDataFrame(measured, "doc_id long, language string, x double, y double, k double").selectExpr("doc_id", "language", f"x * {factor} + {shift} x", f"y * {factor} y", "k")
+        return {(r.doc_id, abs(r.z_x) > 4, r.z_y is not None and r.z_y > 4, r.z_k) for r in quality.tail_scores(df, ["x", "y", "k"]).collect()}
+
+    one = far(1, 0)
+    assert one == far(10, 0) == far(0.001, 7)
+    assert {d for d, x, _, _ in one if x} == {d for d, _, x, _, _ in measured if x == 40.0}
+    assert {d for d, _, _, z in one if z == math.inf} == {990} and all(z == 0 for d, _, _, z in one if d != 990)
+
+
+def quantiles(values):
+    v = sorted(values)
+    return [v[min(len(v) - 1, max(0, math.ceil(i / 100 * len(v)) - 1))] for i in range(101)]
+
+
+def test_scores_against_plain_python(spark, measured):
+    """Sketches of so few values are nearly exact; z-scores and percentiles must be those of a plain computation."""
+    df = spark.createDataFrame(measured, "doc_id long, language string, x double, y double, k double").drop("k")
+    pooled = {c: quantiles([r[c] for r in measured if r[c] is not None]) for c in (2, 3)}
+    got = quality.tail_scores(df, ["x", "y"]).collect()
+    assert len(got) == len(measured)
+    close = 0
+    for r in got:
+        if r.language in ("en", "de"):
+            own = [m[2] for m in measured if m[1] == r.language]
+            q = [(len(own) * a + quality.PRIOR * b) / (len(own) + quality.PRIOR) for a, b in zip(quantiles(own), pooled[2])]
+            wide = (q[90] - q[50] if r.x > q[50] else q[50] - q[10]) / quality.DECILE
+            close += abs((r.x - q[50]) / wide - r.z_x) <= 0.1 + 0.05 * abs(r.z_x) and abs(max(sum(g <= r.x for g in q) - 1, 0) - r.p_x) <= 3
+        if r.language == "ru":
+            assert r.z_y is None and r.p_y is None and r.z_x is not None
+    assert close >= 0.98 * 900
+
+
+def test_small_languages_are_not_their_own_scale(spark):
+    """Five documents far from all others are far, though they are like each other."""
+    rows = [(i, "en", 5 + (i % 50) / 50) for i in range(500)] + [(600 + i, "xx", 30.0 + i) for i in range(5)]
+    got = {r.doc_id: r.z_x for r in quality.tail_scores(spark.createDataFrame(rows, "doc_id long, language string, x double"), ["x"]).collect()}
+    assert all(got[600 + i] > 4 for i in range(5)) and all(abs(got[i]) < 4 for i in range(500))
