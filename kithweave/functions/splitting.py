@@ -29,12 +29,18 @@ PLACEHOLDERS = {"TRAD", "TRADITIONAL", "ARR", "UNKNOWN", "ANON", "ANONYMOUS", "N
 WHOLE, WORD, UNCUT = 2, 7, 5
 
 
+def folded(text: str) -> str:
+    """Upper case letter by letter, so that every place keeps its offset: a letter whose upper case is longer stays as it is."""
+    up = text.upper()
+    return up if len(up) == len(text) else "".join(u if len(u := c.upper()) == 1 else c for c in text)
+
+
 class Known:
     """An automaton over the known names that hold a delimiter; others need no protection."""
 
     def __init__(self, names):
-        self.names = sorted({n.strip().upper() for n in names if n and (SOFT.search(n.strip()) or HARD.search(n.strip()))})
-        self.automaton = None
+        self.names = sorted({folded(n.strip()) for n in names if n and (SOFT.search(n.strip()) or HARD.search(n.strip()))})
+        self.automaton, self.trie = None, {}
         try:
             import ahocorasick
 
@@ -44,17 +50,32 @@ class Known:
                     self.automaton.add_word(n, n)
                 self.automaton.make_automaton()
         except ImportError:
-            pass
+            for n in self.names:
+                node = self.trie
+                for ch in n:
+                    node = node.setdefault(ch, {})
+                node[""] = n
+
+    def _walk(self, up: str):
+        """The same by a walk of a trie from the start of every word, where there is no automaton."""
+        for at in range(len(up)):
+            if at and up[at - 1].isalnum():
+                continue
+            node = self.trie
+            for e in range(at, len(up)):
+                node = node.get(up[e])
+                if node is None:
+                    break
+                if "" in node:
+                    yield at, e + 1
 
     def spans(self, text: str) -> list[tuple[int, int]]:
         """Where known names stand as whole words."""
-        up = text.upper()
-        if len(up) != len(text):
-            return []
+        up = folded(text)
         if self.automaton is not None:
             found = [(e + 1 - len(n), e + 1) for e, n in self.automaton.iter(up)]
         else:
-            found = [(m.start(), m.end()) for n in self.names for m in re.finditer(re.escape(n), up)]
+            found = list(self._walk(up))
         return [(a, b) for a, b in found if (a == 0 or not up[a - 1].isalnum()) and (b == len(up) or not up[b].isalnum())]
 
 
@@ -87,38 +108,71 @@ def _cost(part: str, cuts: int, known: bool, commas: int) -> float:
     return WHOLE + UNCUT * cuts
 
 
-def _segment(text: str, known: Known) -> list[str]:
-    """The cheapest cover of one stretch without hard delimiters."""
-    spans = known.spans(text)
+#: Delimiters up to which a part's cost is computed from its text. That of a longer part follows from where it starts and ends, so that a field of many thousand names takes
+#: no time in the square of their number; the cover is the same for any number from 2 on.
+NEAR = 12
+
+
+def _segment(text: str, known: Known, near: int = NEAR) -> list[str]:
+    """The cheapest cover of one stretch without hard delimiters; of covers that cost the same, the one whose last part is longest."""
     cuts = [(m.start(), m.end()) for m in SOFT.finditer(text) if m.end() > m.start()]
     if not cuts:
         return [text]
-    inside = {}
-    for a, b in spans:
-        for i, (x, y) in enumerate(cuts):
-            if a <= x and y <= b:
-                inside.setdefault(i, []).append((a, b))
-    starts = [0] + [y for _, y in cuts]
-    ends = [x for x, _ in cuts] + [len(text)]
-    n, spanned = len(starts), set(spans)
-    best: list[tuple[float, list[str]]] = [(0.0, [])] + [(float("inf"), [])] * n
+    spanned = set(known.spans(text))
+    starts, ends = [0] + [y for _, y in cuts], [x for x, _ in cuts] + [len(text)]
+    comma = [0]
+    for x, y in cuts:
+        comma.append(comma[-1] + ("," in text[x:y] or "，" in text[x:y]))
+    n, size = len(starts), len(text)
+    left, right = [], []
+    for a in starts:
+        while a < size and text[a].isspace():
+            a += 1
+        left.append(a)
+    for b in ends:
+        while b > 0 and text[b - 1].isspace():
+            b -= 1
+        right.append(b)
+    blank_after = [size] * (size + 1)
+    for at in range(size - 1, -1, -1):
+        blank_after[at] = at if text[at].isspace() else blank_after[at + 1]
+    at_end: dict[int, list[int]] = {}
+    for a, b in spanned:
+        at_end.setdefault(b, []).append(a)
+    best, back = [0.0] + [float("inf")] * n, [0] * (n + 1)
+    begin: dict[int, list[int]] = {}  # where a part's text begins, with or without its credit: parts that start there
+    joined = (float("inf"), 0)  # least cost of a long part of several words, less what its delimiters cost
+    unbroken: dict[int, tuple[float, int]] = {}  # by the next blank: least cost before a long part without one
     for j in range(n):
-        for i in range(max(0, j - 12), j + 1):
-            a, b = starts[i], ends[j]
-            while a < b and text[a].isspace():
-                a += 1
-            while b > a and text[b - 1].isspace():
-                b -= 1
+        far = j - near - 1
+        if far >= 0:  # the part that starts there is long from now on
+            credit = CREDIT.match(text[left[far] : left[far] + 200])
+            inner = left[far] + (credit.end() if credit else 0)
+            for a in {left[far], inner}:
+                begin.setdefault(a, []).append(far)
+            joined = min(joined, (best[far] - UNCUT * far, far))
+            gap = blank_after[inner]
+            unbroken[gap] = min(unbroken.get(gap, (float("inf"), 0)), (best[far], far))
+            options = [(joined[0] + WHOLE + UNCUT * j, joined[1])]
+            gap = blank_after[max(right[j] - 1, 0)]
+            if gap in unbroken:
+                options.append((unbroken[gap][0] + WORD, unbroken[gap][1]))
+            options += [(best[i], i) for a in at_end.get(right[j], ()) for i in begin.get(a, ())]
+            best[j + 1], back[j + 1] = min(options)
+        for i in range(max(0, j - near), j + 1):
+            a, b = left[i], max(left[i], right[j])
             part = text[a:b]
             core = CREDIT.sub("", part)
             is_known = (a, b) in spanned or (core != part and (b - len(core), b) in spanned)
-            held = [k for k in range(i, j)]
-            commas = sum("," in text[slice(*cuts[k])] or "，" in text[slice(*cuts[k])] for k in held)
-            c = best[i][0] + _cost(core, len(held), is_known, commas)
-            # a single letter x between two words is a middle initial
-            if c < best[j + 1][0]:
-                best[j + 1] = (c, [*best[i][1], part] if part else best[i][1])
-    return best[n][1]
+            c = best[i] + _cost(core, j - i, is_known, comma[j] - comma[i])
+            if c < best[j + 1]:
+                best[j + 1], back[j + 1] = c, i
+    parts, j = [], n
+    while j:
+        i = back[j]
+        parts.append(text[left[i] : max(left[i], right[j - 1])])
+        j = i
+    return [p for p in reversed(parts) if p]
 
 
 def _unquote(text: str) -> list[str] | None:

@@ -41,8 +41,8 @@ def split_fields(df: DataFrame, source: str, id_col: str, value_col: str, known:
     Null and blank fields give no row, a field of one name gives one; repeated rows (same id and field) count once; an empty table gives an empty
     result; columns other than the two named are not read, so their names can't clash.
     """
-    base = df.select(F.col(id_col).cast("string").alias("record_id"), F.col(value_col).alias("_v")).where("_v is not null and trim(_v) <> ''").distinct()
-    one = base.where(~F.col("_v").rlike(MAY_SPLIT)).select("record_id", F.array(F.trim("_v")).alias("_p"))
+    base = df.select(F.col(id_col).cast("string").alias("record_id"), F.col(value_col).alias("_v")).where(F.col("_v").rlike(r"(?U)\S")).distinct()
+    one = base.where(~F.col("_v").rlike(MAY_SPLIT)).select("record_id", F.array(F.regexp_replace("_v", r"(?U)^\s+|\s+$", "")).alias("_p"))
     many = base.where(F.col("_v").rlike(MAY_SPLIT)).select("record_id", names_udf(known)("_v").alias("_p"))
     return one.unionByName(many).select(F.lit(source).alias("source_table"), "record_id", F.posexplode("_p").alias("pos", "val")).withColumn("pos", (F.col("pos") + 1).cast("int"))
 
