@@ -1,8 +1,9 @@
 """Variant spellings of names typed by people, linked by a trie join.
 
-Every stored value that holds one name becomes a main word (surname or the distinctive word of an act) and the rest. Main words are sharded into tries; a
-Levenshtein automaton walks each trie and enumerates the words within bounded distance. Names whose main words are neighbours are the same when their rests
-agree in some order of the words: equal, a known short form, one typing error away, or an initial that only one of the family's members has.
+Every stored value that holds one name becomes the multiset of its words, so the order they are written in doesn't matter. All words are sharded into tries; a Levenshtein
+automaton walks each trie and enumerates the words within bounded distance. Two names that agree in all words but one, or but a short form for its full form, are the
+same person or act when the company the two words keep says that one is the other misspelt: most names that hold the rarer word exist with the other word too. Given
+names are near each other as well, but MARIA and MARIO stand in different families most of the time.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.chars import bare
@@ -37,15 +38,19 @@ NICKNAMES = {
     "ROBERT": "ROB BOB BOBBY ROBBIE", "RONALD": "RON RONNIE", "SAMUEL": "SAM SAMMY", "STEPHEN": "STEVE", "SUSAN": "SUE SUSIE", "THEODORE": "TED THEO TEDDY", "THOMAS": "TOM TOMMY", "TIMOTHY": "TIM", "VICTORIA": "VICKY TORI",
     "VINCENT": "VINCE VINNIE", "WILLIAM": "BILL WILL BILLY WILLIE LIAM", "PHILHARMONIC": "PHIL",
 }
-#: Typing errors between two main words (an adjacent swap is one), and the least length of a word that may hold one.
-ERRORS, LEAST_LENGTH = 1, 5
-#: A word beside more different words than this share of the names, and than so many, is common: no main word. The share bounds how many there are.
+#: Typing errors between two words (an adjacent swap is one), and between two names.
+ERRORS, NAME_ERRORS = 1, 2
+#: Share of the names of the rarer of two near words that must exist with the other word as well.
+SHARED = 0.5
+#: A word more widespread than its company, as given names are, is the misspelling of another only if it stands in this many times fewer names; so is one that no name
+#: shares with the other.
+MUCH_RARER = 10
+#: A word beside more different words than this share of the names, and than so many, is common.
 COMMON_SHARE, COMMON_LEAST = 1 / 5000, 15
-#: A rest beside so many main words at most, or beside this many times fewer than a rest one typing error away, may be that rest mistyped.
-SELDOM, MUCH_RARER = 2, 10
 #: Words of a trie; a shard with more is split into blocks, and its words are looked up in each.
 TRIE_WORDS = 20_000
 
+SEP = "\u0001"
 _NICK = re.compile(r"[\"'“”‘’`´]([^\W\d_]{2,})[\"'“”‘’`´]")
 _ASIDE = re.compile(r"\s*[(\[{][^()\[\]{}]*[)\]}]\s*$")
 
@@ -151,111 +156,146 @@ def neighbours(trie: dict, word: str, errors: int) -> set[str]:
     return out
 
 
-def trie_join(words: DataFrame, col: str = "main", errors: int = ERRORS, trie_words: int = TRIE_WORDS) -> DataFrame:
-    """(a, b), a < b: all pairs of distinct words within `errors` typing errors; words shorter than LEAST_LENGTH only equal themselves.
+def _keys(errors: int):
+    """For words `w`: (key, store) of the shards that store a word and of those where it is looked up, such that two words within the bound meet.
 
-    A word of length L goes to the shards of its first and of its last h letters, h being the length of the half that errors leave intact; two words within
-    the bound share a shard (for one error a half stays whole). A shard with more words than a trie takes is split into blocks: each word is stored in one
-    block and looked up in all.
+    Of two such words the shorter one, of s letters, is stored. It has errors + 1 pieces of equal length with a letter between them, so an error, a swap too, touches one
+    piece at most, and one is whole in the other word: at its start, at its end, or, for the middle piece of three, where it was or one letter off.
     """
-    if errors != 1:
-        raise ValueError("shards are made for one error; more come out over the names between")
-    w = words.select(F.col(col).alias("w")).where(F.length(col) >= LEAST_LENGTH).distinct()
-    # the shorter word of a pair fixes the half: of its own length as the shorter one, of one less as the longer one
-    halves = F.array_distinct(F.array(F.floor((F.length("w") - 1) / 2).cast("int"), F.floor((F.length("w") - 2) / 2).cast("int")))
-    keyed = w.select("w", F.explode(halves).alias("h")).select(
-        "w", F.explode(F.array(F.concat(F.lit("<"), F.expr("substring(w, 1, h)")), F.concat(F.lit(">"), F.expr("right(w, h)")))).alias("key")
-    )
-    keyed = cut(keyed)
-    hot = keyed.groupBy("key").count().where(F.col("count") > trie_words).select("key", F.ceil(F.col("count") / trie_words).cast("int").alias("blocks"))
-    sized = keyed.join(hot, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    rows = sized.select("key", "w", F.pmod(F.xxhash64("w"), F.col("blocks")).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    rows = rows.repartition("key", "block").sortWithinPartitions("key", "block")
+    n, out = F.length("w"), []
+    for less in range(errors + 1):
+        s = n - less
+        h = F.floor((s - errors) / (errors + 1)).cast("int")
+        h = F.greatest(h, F.lit(0))
+        pieces = [("<", F.substring(F.col("w"), F.lit(1), h), 0), (">", F.substring(F.col("w"), n - h + 1, h), 0)]
+        if errors == 2:
+            pieces += [("=", F.substring(F.col("w"), F.greatest(h + 2 + shift, F.lit(1)), h), shift) for shift in (-1, 0, 1)]
+        for kind, piece, shift in pieces:
+            key = F.concat_ws(" ", F.lit(kind), s, piece)
+            out.append(F.when(s > 0, F.struct(key.alias("key"), F.lit(False).alias("store"))))
+            if less == 0 and shift == 0:
+                out.append(F.struct(key.alias("key"), F.lit(True).alias("store")))
+    return F.array_distinct(F.filter(F.array(*out), lambda x: x.isNotNull()))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, stored, asked = None, [], []
 
-        def found():
-            if len(asked) < 2 or not stored:
-                return None
-            trie = build_trie(stored)
-            pairs = {(min(q, n), max(q, n)) for q in asked for n in neighbours(trie, q, errors) if n != q}
-            return pd.DataFrame(sorted(pairs), columns=["a", "b"]) if pairs else None
+def trie_join(words: DataFrame, col: str = "main", errors: int = ERRORS, trie_words: int = TRIE_WORDS) -> DataFrame:
+    """(a, b), a < b: all pairs of distinct words of `col` within `errors` typing errors, 0, 1 or 2. Null and empty words have no neighbours.
+
+    A shard with more words than a trie takes is split into blocks: each word is stored in one block and looked up in all.
+    """
+    if errors not in (0, 1, 2):
+        raise ValueError("shards are made for two errors at most; more come out over the names between")
+    w = words.select(F.col(col).alias("w")).where(F.length(col) > 0).distinct()
+    keyed = cut(w.select("w", F.explode(_keys(errors)).alias("k")).select("w", "k.key", "k.store"))
+    hot = keyed.where("store").groupBy("key").count().select("key", F.ceil(F.col("count") / trie_words).cast("int").alias("blocks"))
+    sized = keyed.join(hot, "key")  # a shard that stores nothing needs no look-up
+    rows = sized.select("key", "w", "store", F.pmod(F.xxhash64("w"), F.col("blocks")).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    rows = rows.where("not store or own = block").select("key", "block", "store", "w")
+    rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", F.desc("store"))
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, stored, trie = None, [], None
         for batch in batches:
-            for key, word, own, block in zip(batch["key"], batch["w"], batch["own"], batch["block"]):
+            pairs = set()
+            for key, block, store, word in zip(batch["key"], batch["block"], batch["store"], batch["w"]):
                 if (key, block) != at:
-                    if (out := found()) is not None:
-                        yield out
-                    at, stored, asked = (key, block), [], []
-                asked.append(word)
-                if own == block:
+                    at, stored, trie = (key, block), [], None
+                if store:
                     stored.append(word)
-        if (out := found()) is not None:
-            yield out
+                    continue
+                if trie is None:
+                    trie = build_trie(stored)
+                pairs.update((min(word, n), max(word, n)) for n in neighbours(trie, word, errors) if n != word)
+            if pairs:
+                yield pd.DataFrame(sorted(pairs), columns=["a", "b"])
 
     return rows.mapInPandas(run, "a string, b string").distinct()
 
 
-def _one_typo(a, b):
-    """Are two words one typing error apart?"""
-    swap = (F.length(a) == F.length(b)) & (F.levenshtein(a, b) == 2) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
-    return (F.levenshtein(a, b) == 1) | swap
+def _typos(a, b):
+    """Typing errors between two words, one or two; null for more."""
+    swap = (F.length(a) == F.length(b)) & (F.levenshtein(a, b, 2) == 2) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
+    return F.when(swap | (F.levenshtein(a, b, 1) == 1), 1).when(F.levenshtein(a, b, 2) == 2, 2)
 
 
-def link_names(values: DataFrame, known: list[str]) -> DataFrame:
+def named_words(parsed: DataFrame) -> DataFrame:
+    """parsed with `node`, the sorted words that a name is compared by. Initials count only beside a single word: VIKTOR D. DRAZIN is DRAZIN VIKTOR, D. DRAZIN is DRAZIN and a D."""
+    full = F.filter("words", lambda w: F.length(w) > 1)
+    first = F.slice(F.filter("words", lambda w: F.length(w) == 1), 1, 1)
+    kept = F.when(F.size(full) > 1, full).when(F.size(full) == 1, F.concat(full, first)).otherwise(F.col("words"))
+    return parsed.select("value", "words", "nick", full.alias("full"), F.array_sort(kept).alias("kept")).withColumn("node", F.array_join("kept", SEP))
+
+
+def link_names(values: DataFrame, known: list[str], errors: int = ERRORS) -> DataFrame:
     """(value, entity) of every distinct value that holds one name; values of one entity are spellings of one person or act.
 
-    values: a column `value`. Null and empty values, placeholders and fields of several names give no row; an empty table gives an empty result.
+    values: a column `value`. errors: typing errors between two words. Null and empty values, placeholders and fields of several names give no row; an empty table gives
+    an empty result.
     """
-    parsed = cut(single_names(values.where("value is not null and trim(value) <> ''").distinct(), known))
-    named = parsed.select("value", "words", "nick", main_word(common_words(parsed)).alias("main"))
-    others = F.array_except("words", F.array("main"))
-    full = F.filter(others, lambda w: F.length(w) > 1)
-    rest = F.when(F.size(full) > 0, F.array_join(full, "")).otherwise(F.coalesce(F.get(others, F.lit(0)), F.lit("")))
-    act = F.exists("words", lambda w: w.isin(sorted(ACT_WORDS)))
-    named = cut(named.select("value", "main", rest.alias("rest"), act.alias("act"), F.when(F.size(full) == 1, F.col("nick")).alias("nick")))
-    node = F.concat_ws("\u0001", "main", "rest")
-    nodes = cut(named.groupBy("main", "rest").agg(F.max("act").alias("act")))
-    pairs = cut(trie_join(named))
-    near = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     spark = values.sparkSession
-    fixed = spark.createDataFrame([(s, g) for g, short in NICKNAMES.items() for s in short.split()], "short string, rest string")
-    learned = named.where("nick is not null and nick <> rest").select(F.col("nick").alias("short"), "rest")
-    alias = F.broadcast(cut(fixed.unionByName(learned).distinct(), 1)) if learned.limit(50_000).count() < 50_000 else fixed.unionByName(learned).distinct()
-
-    def edge(df, m1, r1, m2, r2):
-        return df.select(F.concat_ws("\u0001", m1, r1).alias("a"), F.concat_ws("\u0001", m2, r2).alias("b"))
-
-    n1 = nodes.select(F.col("main").alias("a"), F.col("rest").alias("ra"))
-    n2 = nodes.select(F.col("main").alias("b"), F.col("rest").alias("rb"))
-    # 1: neighbouring main words, equal rest
-    same = n1.join(pairs, "a").join(n2.withColumnRenamed("rb", "ra"), ["b", "ra"])
-    edges = edge(same, "a", "ra", "b", "ra")
-    # 2: a short form with its full form, of the same or a neighbouring main word
-    short = n1.join(alias, F.col("ra") == F.col("short")).select("a", "ra", F.col("rest").alias("rb"))
-    exact = short.withColumn("b", F.col("a"))
-    wide = short.join(near, "a")
-    both = exact.select("a", "ra", "b", "rb").unionByName(wide.select("a", "ra", "b", "rb")).join(n2, ["b", "rb"])
-    edges = edges.unionByName(edge(both, "a", "ra", "b", "rb"))
-    # 3: equal main word, a rest one typing error from another rest that stands beside far more main words, or that hardly any other name has
-    spread = nodes.groupBy("rest").agg(F.count(F.lit(1)).alias("spread"))
-    spelt = nodes.where(F.length("rest") >= 4).join(spread, "rest").select("main", "rest", "spread")
-    x, y = spelt.select(F.col("main").alias("a"), F.col("rest").alias("ra"), F.col("spread").alias("sa")), spelt.select(F.col("main").alias("b"), F.col("rest").alias("rb"), F.col("spread").alias("sb"))
-    typo = x.join(y, F.col("a") == F.col("b")).where((F.col("ra") != F.col("rb")) & ((F.col("sa") <= SELDOM) | (F.col("sa") * MUCH_RARER <= F.col("sb")))).where(_one_typo(F.col("ra"), F.col("rb")))
-    edges = edges.unionByName(edge(typo, "a", "ra", "b", "rb"))
+    parsed = cut(single_names(values.where("value is not null and trim(value) <> ''").distinct(), known))
+    named = cut(named_words(parsed))
+    act = F.exists("kept", lambda w: w.isin(sorted(ACT_WORDS)))
+    nodes = cut(named.groupBy("node").agg(F.first("kept").alias("kept")).withColumn("act", act))
+    # each word of a name with the others, its company
+    each = nodes.select("node", "act", "kept", F.posexplode("kept").alias("at", "word"))
+    each = each.select("node", "act", "word", F.size("kept").alias("n"), F.concat(F.slice("kept", 1, F.col("at")), F.slice("kept", F.col("at") + 2, F.size("kept"))).alias("others")).distinct()
+    spread = each.groupBy("word").agg(F.count_distinct("node").alias("spread"))
+    each = each.join(spread, "word").withColumn("company", F.array_join("others", SEP))
+    # how widespread the rarest of the company is
+    rarest = each.groupBy("node").agg(F.array_sort(F.collect_list("spread")).alias("_s"))
+    each = each.join(rarest, "node").withColumn("beside", F.when(F.col("n") == 1, None).when(F.get("_s", F.lit(0)) == F.col("spread"), F.get("_s", F.lit(1))).otherwise(F.get("_s", F.lit(0)))).drop("_s")
+    each = cut(each)
+    long = each.where(F.length("word") > 1)
+    pairs = cut(trie_join(long.select(F.col("word").alias("main")), errors=errors))
+    x = long.select(F.col("word").alias("a"), "company", F.col("node").alias("na"), F.col("spread").alias("sa"), "beside")
+    y = long.select(F.col("word").alias("b"), "company", F.col("node").alias("nb"), F.col("spread").alias("sb"))
+    # 1: names that agree in all words but one, whose company tells that it is the other misspelt
+    one = cut(x.join(pairs, "a").join(y, ["b", "company"]).select("a", "b", "na", "nb", "sa", "sb", "beside"))
+    told = one.groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"), F.min(F.least("sa", "sb")).alias("least"))
+    misspelt = cut(told.where(F.col("both") >= SHARED * F.col("least")).select("a", "b"))
+    # a word of many families tells families apart no more; it is misspelt where hardly any has the other one
+    distinct = F.coalesce(F.least("sa", "sb") <= F.col("beside"), F.lit(True)) | (F.least("sa", "sb") * MUCH_RARER <= F.greatest("sa", "sb"))
+    edges = one.where(distinct).join(misspelt, ["a", "b"]).select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    # and names that agree once two neighbouring words are written as one
+    spaced = named.where("size(full) > 1").select("node", "full", F.explode(F.sequence(F.lit(1), F.size("full") - 1)).alias("i"))
+    closed = F.concat(F.slice("full", 1, F.col("i") - 1), F.array(F.concat(F.get("full", F.col("i") - 1), F.get("full", F.col("i")))), F.slice("full", F.col("i") + 2, F.size("full")))
+    spaced = spaced.select(F.col("node").alias("a"), F.array_join(F.array_sort(closed), SEP).alias("b")).distinct().join(nodes.select(F.col("node").alias("b")), "b", "left_semi")
+    edges = edges.unionByName(spaced.select("a", "b"))
+    # 2: a short form with its full form in the same company
+    fixed = spark.createDataFrame([(s, g) for g, short in NICKNAMES.items() for s in short.split()], "short string, long string")
+    learned = named.where("nick is not null and size(full) = 2").select(F.col("nick").alias("short"), F.get(F.filter("words", lambda w: F.length(w) > 1), F.lit(0)).alias("long")).where("short <> long")
+    alias = cut(fixed.unionByName(learned).distinct(), 1)
+    short = x.join(alias.withColumnRenamed("short", "a"), "a").select(F.col("long").alias("b"), "company", "na").join(y, ["b", "company"])
+    edges = edges.unionByName(short.select(F.col("na").alias("a"), F.col("nb").alias("b")))
+    # 3: two words differ: the rarest words of both names are near, and of the others one is misspelt or a short form
+    lead = long.withColumn("first", F.min("spread").over(Window.partitionBy("node"))).where("spread = first and n > 1")
+    u = lead.select(F.col("word").alias("a"), F.col("node").alias("na"), F.col("others").alias("oa"))
+    v = lead.select(F.col("word").alias("b"), F.col("node").alias("nb"), F.col("others").alias("ob"))
+    two = u.join(pairs, "a").join(v, "b").where(F.size("oa") == F.size("ob"))
+    two = two.select("na", "nb", "a", "b", F.array_except("oa", "ob").alias("da"), F.array_except("ob", "oa").alias("db")).where("size(da) = 1 and size(db) = 1")
+    two = two.select("na", "nb", F.get("da", F.lit(0)).alias("p"), F.get("db", F.lit(0)).alias("q"), _typos(F.col("a"), F.col("b")).alias("e")).where(F.length("p") > 1).where(F.length("q") > 1)
+    both_ways = alias.unionByName(alias.select(F.col("long").alias("short"), F.col("short").alias("long"))).distinct()
+    formed = two.join(both_ways, (F.col("p") == F.col("short")) & (F.col("q") == F.col("long"))).select("na", "nb")
+    typed = two.where(F.col("e") + _typos(F.col("p"), F.col("q")) <= NAME_ERRORS)
+    sp, sq = spread.select(F.col("word").alias("p"), F.col("spread").alias("cp")), spread.select(F.col("word").alias("q"), F.col("spread").alias("cq"))
+    typed = typed.join(sp, "p").join(sq, "q").where((F.least("cp", "cq") == 1) | (F.least("cp", "cq") * MUCH_RARER <= F.greatest("cp", "cq"))).select("na", "nb")
+    edges = edges.unionByName(formed.unionByName(typed).select(F.col("na").alias("a"), F.col("nb").alias("b")))
     groups = connected_components(edges)
-    tagged = cut(nodes.withColumn("node", node).join(groups.withColumnRenamed("record_id", "node"), "node", "left").select("main", "rest", "act", "node", F.coalesce("group_id", "node").alias("entity")))
-    # 4: an initial goes to the one entity of its family that it fits: same main word first, else a neighbouring one
-    letters = tagged.where(F.length("rest") == 1).select("main", F.col("rest").alias("letter"), F.col("entity").alias("initial"))
-    fulls = tagged.where((F.length("rest") > 1) & ~F.col("act")).select(F.col("main").alias("m"), F.substring("rest", 1, 1).alias("letter"), "entity")
-    at_home = letters.join(fulls, (F.col("main") == F.col("m")) & (letters.letter == fulls.letter)).select("initial", "entity", F.lit(0).alias("far"))
-    nearby = letters.join(near, F.col("main") == F.col("a")).join(fulls, (F.col("b") == F.col("m")) & (letters.letter == fulls.letter))
-    nearby = nearby.where((F.concat("main", F.lit("S")) != F.col("m")) & (F.concat("m", F.lit("S")) != F.col("main"))).select("initial", "entity", F.lit(1).alias("far"))
-    fits = at_home.unionByName(nearby).groupBy("initial", "far").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi"))
+    tagged = cut(nodes.select("node").join(groups.withColumnRenamed("record_id", "node"), "node", "left").select("node", F.coalesce("group_id", "node").alias("entity")))
+    # 4: an initial goes to the one entity of its family that it fits: of the same word first, else of a neighbouring one
+    letters = each.where("n = 2").where(F.length("company") == 1).where(F.length("word") > 1).join(tagged, "node").select("word", F.col("company").alias("letter"), F.col("entity").alias("initial"))
+    firsts = named.where("size(full) > 1").select("node", "full", F.explode(F.array_distinct("full")).alias("word"))
+    firsts = firsts.select("node", "word", F.substring(F.get(F.filter("full", lambda w: w != F.col("word")), F.lit(0)), 1, 1).alias("letter")).distinct()
+    fulls = firsts.join(nodes.where("not act").select("node"), "node").join(tagged, "node").groupBy("word", "letter").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi"))
+    near = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    at_home = letters.join(fulls, ["word", "letter"]).select("initial", "lo", "hi", F.lit(0).alias("far"))
+    nearby = letters.join(near, F.col("word") == F.col("a")).select("word", "initial", "letter", "b").join(fulls.withColumnRenamed("word", "b"), ["b", "letter"])
+    nearby = nearby.where((F.concat("word", F.lit("S")) != F.col("b")) & (F.concat("b", F.lit("S")) != F.col("word"))).select("initial", "lo", "hi", F.lit(1).alias("far"))
+    fits = at_home.unionByName(nearby).groupBy("initial", "far").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     fits = fits.groupBy("initial").agg(F.min_by(F.struct("lo", "hi"), "far").alias("f")).where("f.lo = f.hi").select("initial", F.col("f.lo").alias("owner"))
-    final = tagged.join(fits, F.col("entity") == F.col("initial"), "left").select("main", "rest", F.coalesce("owner", "entity").alias("entity"))
-    return named.select("value", "main", "rest").join(final, ["main", "rest"]).select("value", "entity")
+    final = tagged.join(fits, F.col("entity") == F.col("initial"), "left").select("node", F.coalesce("owner", "entity").alias("entity"))
+    return named.select("value", "node").join(final, "node").select("value", "entity")
 
 
 def stored_names(spark, sf_dir: str) -> DataFrame:
