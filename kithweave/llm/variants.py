@@ -45,8 +45,6 @@ SHARED = 0.5
 #: A word more widespread than its company, as given names are, is the misspelling of another only if it stands in this many times fewer names; so is one that no name
 #: shares with the other.
 MUCH_RARER = 10
-#: A word beside more different words than this share of the names, and than so many, is common.
-COMMON_SHARE, COMMON_LEAST = 1 / 5000, 15
 #: Words of a trie; a shard with more is split into blocks, and its words are looked up in each.
 TRIE_WORDS = 20_000
 
@@ -95,23 +93,6 @@ def single_names(values: DataFrame, known: list[str]) -> DataFrame:
     return values.withColumn("_p", parse.asNondeterministic()("value")).select("value", "_p.words", "_p.nick").where(F.size("words") > 0)
 
 
-def common_words(names: DataFrame) -> list[str]:
-    """Words of `words` that stand beside many different words, as given names do; surnames stand beside few, however often they occur."""
-    names = names.select("words").distinct()
-    total = names.count()
-    long = names.select(F.filter("words", lambda w: F.length(w) > 1).alias("words"))
-    beside = long.select(F.explode("words").alias("w"), "words").select("w", F.explode("words").alias("o")).where("w <> o").distinct()
-    counted = beside.groupBy("w").count().where(F.col("count") > max(COMMON_LEAST, total * COMMON_SHARE))
-    return [r["w"] for r in bounded_rows(counted.select("w"), 200_000, "common words")] + sorted(ACT_WORDS)
-
-
-def main_word(common: list[str]):
-    """Of the column `words`: the longest one that isn't common, the last by code point among equals."""
-    rare = F.filter("words", lambda w: ~w.isin(common) & (F.length(w) > 1))
-    pool = F.when(F.size(rare) > 0, rare).otherwise(F.col("words"))
-    return F.array_max(F.transform(pool, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-
-
 def build_trie(words) -> dict:
     root: dict = {}
     for w in words:
@@ -226,37 +207,61 @@ def named_words(parsed: DataFrame) -> DataFrame:
     return parsed.select("value", "words", "nick", full.alias("full"), F.array_sort(kept).alias("kept")).withColumn("node", F.array_join("kept", SEP))
 
 
-def link_names(values: DataFrame, known: list[str], errors: int = ERRORS) -> DataFrame:
-    """(value, entity) of every distinct value that holds one name; values of one entity are spellings of one person or act.
-
-    values: a column `value`. errors: typing errors between two words. Null and empty values, placeholders and fields of several names give no row; an empty table gives
-    an empty result.
-    """
-    spark = values.sparkSession
-    parsed = cut(single_names(values.where("value is not null and trim(value) <> ''").distinct(), known))
-    named = cut(named_words(parsed))
-    act = F.exists("kept", lambda w: w.isin(sorted(ACT_WORDS)))
-    nodes = cut(named.groupBy("node").agg(F.first("kept").alias("kept")).withColumn("act", act))
-    # each word of a name with the others, its company
+def near_names(nodes: DataFrame, errors: int = ERRORS) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """From names (node, act, kept): their words with the company of each, how many names hold a word, near words, names that agree in all words but one near pair (a, b), and
+    the near pairs whose company tells that one is the other misspelt."""
     each = nodes.select("node", "act", "kept", F.posexplode("kept").alias("at", "word"))
     each = each.select("node", "act", "word", F.size("kept").alias("n"), F.concat(F.slice("kept", 1, F.col("at")), F.slice("kept", F.col("at") + 2, F.size("kept"))).alias("others")).distinct()
-    spread = each.groupBy("word").agg(F.count_distinct("node").alias("spread"))
+    spread = cut(each.groupBy("word").agg(F.count_distinct("node").alias("spread")))
     each = each.join(spread, "word").withColumn("company", F.array_join("others", SEP))
     # how widespread the rarest of the company is
     rarest = each.groupBy("node").agg(F.array_sort(F.collect_list("spread")).alias("_s"))
     each = each.join(rarest, "node").withColumn("beside", F.when(F.col("n") == 1, None).when(F.get("_s", F.lit(0)) == F.col("spread"), F.get("_s", F.lit(1))).otherwise(F.get("_s", F.lit(0)))).drop("_s")
     each = cut(each)
     long = each.where(F.length("word") > 1)
-    pairs = cut(trie_join(long.select(F.col("word").alias("main")), errors=errors))
+    pairs = cut(trie_join(spread.where(F.length("word") > 1).select(F.col("word").alias("main")), errors=errors))
     x = long.select(F.col("word").alias("a"), "company", F.col("node").alias("na"), F.col("spread").alias("sa"), "beside")
     y = long.select(F.col("word").alias("b"), "company", F.col("node").alias("nb"), F.col("spread").alias("sb"))
-    # 1: names that agree in all words but one, whose company tells that it is the other misspelt
     one = cut(x.join(pairs, "a").join(y, ["b", "company"]).select("a", "b", "na", "nb", "sa", "sb", "beside"))
     told = one.groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"), F.min(F.least("sa", "sb")).alias("least"))
     misspelt = cut(told.where(F.col("both") >= SHARED * F.col("least")).select("a", "b"))
     # a word of many families tells families apart no more; it is misspelt where hardly any has the other one
     distinct = F.coalesce(F.least("sa", "sb") <= F.col("beside"), F.lit(True)) | (F.least("sa", "sb") * MUCH_RARER <= F.greatest("sa", "sb"))
-    edges = one.where(distinct).join(misspelt, ["a", "b"]).select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    return each, spread, pairs, one.where(distinct), misspelt
+
+
+def lead_words(named: DataFrame) -> DataFrame:
+    """(node, leads) of names by `named_words`: the words by which a person is told from most others. Words and their misspellings are one class, by its smallest member; of a
+    name's classes the one that fewest names hold leads, and those that are not MUCH_RARER times as widespread."""
+    nodes = cut(named.groupBy("node").agg(F.first("kept").alias("kept")).withColumn("act", F.lit(False)))
+    each, _, _, one, misspelt = near_names(nodes)
+    told = cut(one.join(misspelt, ["a", "b"]).select("a", "b").distinct())
+    classes = connected_components(told).select(F.col("record_id").alias("word"), F.col("group_id").alias("class"))
+    held = cut(each.select("node", "word").join(classes, "word", "left").select("node", F.coalesce("class", "word").alias("class")).distinct())
+    wide = held.join(held.groupBy("class").agg(F.count(F.lit(1)).alias("spread")), "class")
+    # an initial leads only where there is nothing else; a name has few words, so its list is short
+    listed = wide.groupBy("node").agg(F.array_sort(F.collect_list(F.struct((F.length("class") < 2).alias("short"), "spread", "class"))).alias("w"))
+    first = F.get("w", F.lit(0))
+    return listed.select("node", F.filter("w", lambda w: (w["short"] == first["short"]) & (w["spread"] < MUCH_RARER * first["spread"]))["class"].alias("leads"))
+
+
+def link_names(values: DataFrame, known: list[str], errors: int = ERRORS) -> DataFrame:
+    """(value, entity) of every distinct value that holds one name; values of one entity are spellings of one person or act.
+
+    values: a column `value`. errors: typing errors between two words. Null and empty values, placeholders and fields of several names give no row; an empty table gives
+    an empty result.
+    """
+    spark = values.sparkSession
+    parsed = cut(single_names(values.where("value is not null and trim(value) <> ''").distinct(), known))
+    named = cut(named_words(parsed))
+    act = F.exists("kept", lambda w: w.isin(sorted(ACT_WORDS)))
+    nodes = cut(named.groupBy("node").agg(F.first("kept").alias("kept")).withColumn("act", act))
+    each, spread, pairs, one, misspelt = near_names(nodes, errors)
+    long = each.where(F.length("word") > 1)
+    x = long.select(F.col("word").alias("a"), "company", F.col("node").alias("na"))
+    y = long.select(F.col("word").alias("b"), "company", F.col("node").alias("nb"))
+    # 1: names that agree in all words but one
+    edges = one.join(misspelt, ["a", "b"]).select(F.col("na").alias("a"), F.col("nb").alias("b"))
     # and names that agree once two neighbouring words are written as one
     spaced = named.where("size(full) > 1").select("node", "full", F.explode(F.sequence(F.lit(1), F.size("full") - 1)).alias("i"))
     closed = F.concat(F.slice("full", 1, F.col("i") - 1), F.array(F.concat(F.get("full", F.col("i") - 1), F.get("full", F.col("i")))), F.slice("full", F.col("i") + 2, F.size("full")))
