@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,21 +15,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (spark.checkpoint.dir); a temporary one only where none is named, as in tests."""
+    """The folder all executors share (spark.checkpoint.dir). Only a local session, as in tests, may do without: it gets a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="kithweave-")
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir()
     return named
 
 
+#: Cuts made in the calls of `settled` that are running, innermost last.
+_OPEN: list[list[DataFrame]] = []
+
+
 def cut(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Writes df to the shared folder and reads it back: the lineage ends there, and a lost executor costs nothing before it."""
     path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     (df.coalesce(partitions) if partitions else df).write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._kithweave_path = path
+    if _OPEN:
+        _OPEN[-1].append(out)
+    return out
+
+
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """The result of `make` as a cut; the cuts that were made on the way to it are removed, so only results stay in the shared folder."""
+    _OPEN.append([])
+    try:
+        df, inner = make(), _OPEN[-1]
+    except BaseException:
+        for c in _OPEN.pop():
+            drop_cut(c)
+        raise
+    _OPEN.pop()
+    out = cut(df)
+    for c in inner:
+        drop_cut(c)
     return out
 
 
