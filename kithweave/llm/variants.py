@@ -12,13 +12,13 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.chars import bare
 from ..functions.splitting import cached_splitter, is_placeholder
 from ..operators.split import known_names
-from ..runtime import bounded_rows, cut, table
+from ..runtime import cut, settled, table
 from .components import connected_components
 
 # Short forms of words in names of acts.
@@ -207,21 +207,30 @@ def named_words(parsed: DataFrame) -> DataFrame:
     return parsed.select("value", "words", "nick", full.alias("full"), F.array_sort(kept).alias("kept")).withColumn("node", F.array_join("kept", SEP))
 
 
+def _node_id():
+    """A name's words as a number: 64 bits by which names travel through the joins."""
+    return F.xxhash64("node")
+
+
 def near_names(nodes: DataFrame, errors: int = ERRORS) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
-    """From names (node, act, kept): their words with the company of each, how many names hold a word, near words, names that agree in all words but one near pair (a, b), and
+    """From names (nid, kept): their words with the company of each, how many names hold a word, near words, names that agree in all words but one near pair (a, b), and
     the near pairs whose company tells that one is the other misspelt."""
-    each = nodes.select("node", "act", "kept", F.posexplode("kept").alias("at", "word"))
-    each = each.select("node", "act", "word", F.size("kept").alias("n"), F.concat(F.slice("kept", 1, F.col("at")), F.slice("kept", F.col("at") + 2, F.size("kept"))).alias("others")).distinct()
-    spread = cut(each.groupBy("word").agg(F.count_distinct("node").alias("spread")))
-    each = each.join(spread, "word").withColumn("company", F.array_join("others", SEP))
+    each = nodes.select("nid", "kept", F.posexplode("kept").alias("at", "word"))
+    company = F.xxhash64(F.array_join(F.concat(F.slice("kept", 1, F.col("at")), F.slice("kept", F.col("at") + 2, F.size("kept"))), SEP))
+    each = each.select("nid", "word", F.size("kept").alias("n"), company.alias("company")).distinct()
+    spread = cut(each.groupBy("word").agg(F.count_distinct("nid").alias("spread")))
+    each = each.join(spread, "word")
     # how widespread the rarest of the company is
-    rarest = each.groupBy("node").agg(F.array_sort(F.collect_list("spread")).alias("_s"))
-    each = each.join(rarest, "node").withColumn("beside", F.when(F.col("n") == 1, None).when(F.get("_s", F.lit(0)) == F.col("spread"), F.get("_s", F.lit(1))).otherwise(F.get("_s", F.lit(0)))).drop("_s")
-    each = cut(each)
+    rarest = each.groupBy("nid").agg(F.array_sort(F.collect_list("spread")).alias("_s"))
+    each = each.join(rarest, "nid").withColumn("beside", F.when(F.col("n") == 1, None).when(F.get("_s", F.lit(0)) == F.col("spread"), F.get("_s", F.lit(1))).otherwise(F.get("_s", F.lit(0))))
+    each = cut(each.withColumn("leads", F.col("spread") == F.get("_s", F.lit(0))).drop("_s"))
     long = each.where(F.length("word") > 1)
     pairs = cut(trie_join(spread.where(F.length("word") > 1).select(F.col("word").alias("main")), errors=errors))
-    x = long.select(F.col("word").alias("a"), "company", F.col("node").alias("na"), F.col("spread").alias("sa"), "beside")
-    y = long.select(F.col("word").alias("b"), "company", F.col("node").alias("nb"), F.col("spread").alias("sb"))
+    # most words have no near one and go no further
+    some = cut(pairs.select(F.explode(F.array("a", "b")).alias("word")).distinct())
+    long = long.join(some, "word", "left_semi")
+    x = long.select(F.col("word").alias("a"), "company", F.col("nid").alias("na"), F.col("spread").alias("sa"), "beside")
+    y = long.select(F.col("word").alias("b"), "company", F.col("nid").alias("nb"), F.col("spread").alias("sb"))
     one = cut(x.join(pairs, "a").join(y, ["b", "company"]).select("a", "b", "na", "nb", "sa", "sb", "beside"))
     told = one.groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"), F.min(F.least("sa", "sb")).alias("least"))
     misspelt = cut(told.where(F.col("both") >= SHARED * F.col("least")).select("a", "b"))
@@ -233,16 +242,17 @@ def near_names(nodes: DataFrame, errors: int = ERRORS) -> tuple[DataFrame, DataF
 def lead_words(named: DataFrame) -> DataFrame:
     """(node, leads) of names by `named_words`: the words by which a person is told from most others. Words and their misspellings are one class, by its smallest member; of a
     name's classes the one that fewest names hold leads, and those that are not MUCH_RARER times as widespread."""
-    nodes = cut(named.groupBy("node").agg(F.first("kept").alias("kept")).withColumn("act", F.lit(False)))
-    each, _, _, one, misspelt = near_names(nodes)
-    told = cut(one.join(misspelt, ["a", "b"]).select("a", "b").distinct())
+    nodes = cut(named.groupBy("node").agg(F.first("kept").alias("kept")).withColumn("nid", _node_id()))
+    each, _, _, one, misspelt = near_names(nodes.drop("node"))
+    told = one.join(misspelt, ["a", "b"]).select("a", "b").distinct()
     classes = connected_components(told).select(F.col("record_id").alias("word"), F.col("group_id").alias("class"))
-    held = cut(each.select("node", "word").join(classes, "word", "left").select("node", F.coalesce("class", "word").alias("class")).distinct())
+    held = cut(each.select("nid", "word").join(classes, "word", "left").select("nid", F.coalesce("class", "word").alias("class")).distinct())
     wide = held.join(held.groupBy("class").agg(F.count(F.lit(1)).alias("spread")), "class")
     # an initial leads only where there is nothing else; a name has few words, so its list is short
-    listed = wide.groupBy("node").agg(F.array_sort(F.collect_list(F.struct((F.length("class") < 2).alias("short"), "spread", "class"))).alias("w"))
+    listed = wide.groupBy("nid").agg(F.array_sort(F.collect_list(F.struct((F.length("class") < 2).alias("short"), "spread", "class"))).alias("w"))
     first = F.get("w", F.lit(0))
-    return listed.select("node", F.filter("w", lambda w: (w["short"] == first["short"]) & (w["spread"] < MUCH_RARER * first["spread"]))["class"].alias("leads"))
+    leads = listed.select("nid", F.filter("w", lambda w: (w["short"] == first["short"]) & (w["spread"] < MUCH_RARER * first["spread"]))["class"].alias("leads"))
+    return nodes.select("node", "nid").join(leads, "nid").select("node", "leads")
 
 
 def link_names(values: DataFrame, known: list[str], errors: int = ERRORS) -> DataFrame:
@@ -251,56 +261,61 @@ def link_names(values: DataFrame, known: list[str], errors: int = ERRORS) -> Dat
     values: a column `value`. errors: typing errors between two words. Null and empty values, placeholders and fields of several names give no row; an empty table gives
     an empty result.
     """
+    return settled(lambda: _link_names(values, known, errors))
+
+
+def _link_names(values: DataFrame, known: list[str], errors: int) -> DataFrame:
     spark = values.sparkSession
-    parsed = cut(single_names(values.where("value is not null and trim(value) <> ''").distinct(), known))
-    named = cut(named_words(parsed))
-    act = F.exists("kept", lambda w: w.isin(sorted(ACT_WORDS)))
-    nodes = cut(named.groupBy("node").agg(F.first("kept").alias("kept")).withColumn("act", act))
+    parsed = single_names(values.where("value is not null and trim(value) <> ''").distinct(), known)
+    named = cut(named_words(parsed).withColumn("nid", _node_id()))
+    nodes = cut(named.groupBy("nid").agg(F.first("kept").alias("kept")))
     each, spread, pairs, one, misspelt = near_names(nodes, errors)
     long = each.where(F.length("word") > 1)
-    x = long.select(F.col("word").alias("a"), "company", F.col("node").alias("na"))
-    y = long.select(F.col("word").alias("b"), "company", F.col("node").alias("nb"))
     # 1: names that agree in all words but one
-    edges = one.join(misspelt, ["a", "b"]).select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    edges = one.join(misspelt, ["a", "b"]).select("na", "nb")
     # and names that agree once two neighbouring words are written as one
-    spaced = named.where("size(full) > 1").select("node", "full", F.explode(F.sequence(F.lit(1), F.size("full") - 1)).alias("i"))
+    spaced = named.where("size(full) > 1").select("nid", "full", F.explode(F.sequence(F.lit(1), F.size("full") - 1)).alias("i"))
     closed = F.concat(F.slice("full", 1, F.col("i") - 1), F.array(F.concat(F.get("full", F.col("i") - 1), F.get("full", F.col("i")))), F.slice("full", F.col("i") + 2, F.size("full")))
-    spaced = spaced.select(F.col("node").alias("a"), F.array_join(F.array_sort(closed), SEP).alias("b")).distinct().join(nodes.select(F.col("node").alias("b")), "b", "left_semi")
-    edges = edges.unionByName(spaced.select("a", "b"))
+    spaced = spaced.select(F.col("nid").alias("na"), F.xxhash64(F.array_join(F.array_sort(closed), SEP)).alias("nb")).distinct().join(nodes.select(F.col("nid").alias("nb")), "nb", "left_semi")
+    edges = edges.unionByName(spaced)
     # 2: a short form with its full form in the same company
     fixed = spark.createDataFrame([(s, g) for g, short in NICKNAMES.items() for s in short.split()], "short string, long string")
-    learned = named.where("nick is not null and size(full) = 2").select(F.col("nick").alias("short"), F.get(F.filter("words", lambda w: F.length(w) > 1), F.lit(0)).alias("long")).where("short <> long")
+    learned = named.where("nick is not null and size(full) = 2").select(F.col("nick").alias("short"), F.get("full", F.lit(0)).alias("long")).where("short <> long")
     alias = cut(fixed.unionByName(learned).distinct(), 1)
-    short = x.join(alias.withColumnRenamed("short", "a"), "a").select(F.col("long").alias("b"), "company", "na").join(y, ["b", "company"])
-    edges = edges.unionByName(short.select(F.col("na").alias("a"), F.col("nb").alias("b")))
+    short = long.select(F.col("word").alias("short"), "company", F.col("nid").alias("na")).join(alias, "short").select(F.col("long").alias("word"), "company", "na")
+    edges = edges.unionByName(short.join(long.select("word", "company", F.col("nid").alias("nb")), ["word", "company"]).select("na", "nb"))
     # 3: two words differ: the rarest words of both names are near, and of the others one is misspelt or a short form
-    lead = long.withColumn("first", F.min("spread").over(Window.partitionBy("node"))).where("spread = first and n > 1")
-    u = lead.select(F.col("word").alias("a"), F.col("node").alias("na"), F.col("others").alias("oa"))
-    v = lead.select(F.col("word").alias("b"), F.col("node").alias("nb"), F.col("others").alias("ob"))
-    two = u.join(pairs, "a").join(v, "b").where(F.size("oa") == F.size("ob"))
-    two = two.select("na", "nb", "a", "b", F.array_except("oa", "ob").alias("da"), F.array_except("ob", "oa").alias("db")).where("size(da) = 1 and size(db) = 1")
+    lead = long.where("leads and n > 1").select("word", "nid")
+    kept = lambda n: nodes.select(F.col("nid").alias(f"n{n}"), F.col("kept").alias(f"k{n}"))
+    two = lead.select(F.col("word").alias("a"), F.col("nid").alias("na")).join(pairs, "a").join(lead.select(F.col("word").alias("b"), F.col("nid").alias("nb")), "b")
+    two = two.join(kept("a"), "na").join(kept("b"), "nb").where(F.size("ka") == F.size("kb"))
+    others = lambda k, x, l: F.array_except(F.col(k), F.concat(F.col(x), F.array(l)))
+    two = two.select("na", "nb", "a", "b", others("ka", "kb", "a").alias("da"), others("kb", "ka", "b").alias("db")).where("size(da) = 1 and size(db) = 1")
     two = two.select("na", "nb", F.get("da", F.lit(0)).alias("p"), F.get("db", F.lit(0)).alias("q"), _typos(F.col("a"), F.col("b")).alias("e")).where(F.length("p") > 1).where(F.length("q") > 1)
+    two = cut(two)
     both_ways = alias.unionByName(alias.select(F.col("long").alias("short"), F.col("short").alias("long"))).distinct()
     formed = two.join(both_ways, (F.col("p") == F.col("short")) & (F.col("q") == F.col("long"))).select("na", "nb")
     typed = two.where(F.col("e") + _typos(F.col("p"), F.col("q")) <= NAME_ERRORS)
     sp, sq = spread.select(F.col("word").alias("p"), F.col("spread").alias("cp")), spread.select(F.col("word").alias("q"), F.col("spread").alias("cq"))
     typed = typed.join(sp, "p").join(sq, "q").where((F.least("cp", "cq") == 1) | (F.least("cp", "cq") * MUCH_RARER <= F.greatest("cp", "cq"))).select("na", "nb")
-    edges = edges.unionByName(formed.unionByName(typed).select(F.col("na").alias("a"), F.col("nb").alias("b")))
-    groups = connected_components(edges)
-    tagged = cut(nodes.select("node").join(groups.withColumnRenamed("record_id", "node"), "node", "left").select("node", F.coalesce("group_id", "node").alias("entity")))
+    edges = edges.unionByName(formed.unionByName(typed))
+    groups = settled(lambda: connected_components(edges, "na", "nb")).select(F.col("record_id").cast("bigint").alias("nid"), F.col("group_id").cast("bigint").alias("entity"))
+    tagged = cut(nodes.select("nid").join(groups, "nid", "left").select("nid", F.coalesce("entity", "nid").alias("entity")))
     # 4: an initial goes to the one entity of its family that it fits: of the same word first, else of a neighbouring one
-    letters = each.where("n = 2").where(F.length("company") == 1).where(F.length("word") > 1).join(tagged, "node").select("word", F.col("company").alias("letter"), F.col("entity").alias("initial"))
-    firsts = named.where("size(full) > 1").select("node", "full", F.explode(F.array_distinct("full")).alias("word"))
-    firsts = firsts.select("node", "word", F.substring(F.get(F.filter("full", lambda w: w != F.col("word")), F.lit(0)), 1, 1).alias("letter")).distinct()
-    fulls = firsts.join(nodes.where("not act").select("node"), "node").join(tagged, "node").groupBy("word", "letter").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi"))
+    initials = nodes.where("size(kept) = 2").select("nid", F.filter("kept", lambda w: F.length(w) == 1).alias("i"), F.filter("kept", lambda w: F.length(w) > 1).alias("w")).where("size(i) = 1")
+    letters = initials.select("nid", F.get("i", F.lit(0)).alias("letter"), F.get("w", F.lit(0)).alias("word")).join(tagged, "nid").select("word", "letter", F.col("entity").alias("initial"))
+    act = F.exists("full", lambda w: w.isin(sorted(ACT_WORDS)))
+    firsts = named.where((F.size("full") > 1) & ~act).select("nid", "full", F.explode(F.array_distinct("full")).alias("word"))
+    firsts = firsts.select("nid", "word", F.substring(F.get(F.filter("full", lambda w: w != F.col("word")), F.lit(0)), 1, 1).alias("letter")).distinct()
+    fulls = firsts.join(tagged, "nid").groupBy("word", "letter").agg(F.min("entity").alias("lo"), F.max("entity").alias("hi"))
     near = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     at_home = letters.join(fulls, ["word", "letter"]).select("initial", "lo", "hi", F.lit(0).alias("far"))
     nearby = letters.join(near, F.col("word") == F.col("a")).select("word", "initial", "letter", "b").join(fulls.withColumnRenamed("word", "b"), ["b", "letter"])
     nearby = nearby.where((F.concat("word", F.lit("S")) != F.col("b")) & (F.concat("b", F.lit("S")) != F.col("word"))).select("initial", "lo", "hi", F.lit(1).alias("far"))
     fits = at_home.unionByName(nearby).groupBy("initial", "far").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     fits = fits.groupBy("initial").agg(F.min_by(F.struct("lo", "hi"), "far").alias("f")).where("f.lo = f.hi").select("initial", F.col("f.lo").alias("owner"))
-    final = tagged.join(fits, F.col("entity") == F.col("initial"), "left").select("node", F.coalesce("owner", "entity").alias("entity"))
-    return named.select("value", "node").join(final, "node").select("value", "entity")
+    final = tagged.join(fits, F.col("entity") == F.col("initial"), "left").select("nid", F.coalesce("owner", "entity").alias("entity"))
+    return named.select("value", "nid").join(final, "nid").select("value", "entity")
 
 
 def stored_names(spark, sf_dir: str) -> DataFrame:
@@ -313,7 +328,7 @@ def stored_names(spark, sf_dir: str) -> DataFrame:
 
 
 def p1_found(spark, sf_dir: str) -> DataFrame:
-    linked = cut(link_names(stored_names(spark, sf_dir), known_names(spark, sf_dir)))
+    linked = link_names(stored_names(spark, sf_dir), known_names(spark, sf_dir))
     a, b = linked.select("entity", F.col("value").alias("name_a")), linked.select("entity", F.col("value").alias("name_b"))
     return a.join(b, "entity").where("name_a < name_b").select("name_a", "name_b")
 
