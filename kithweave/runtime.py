@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -52,8 +53,13 @@ def settled(make: Callable[[], DataFrame]) -> DataFrame:
         raise
     _OPEN.pop()
     out = cut(df)
+    c = None
     for c in inner:
         drop_cut(c)
+    # the shuffle files of what led there go with its plans, once nothing refers to these
+    del df, inner, c
+    gc.collect()
+    out.sparkSession._jvm.System.gc()
     return out
 
 
