@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.chars import bare
 from ..functions.splitting import cached_splitter, is_placeholder
 from ..operators.split import known_names
-from ..runtime import bounded_rows, bounded_sample, clean_id, cut, drop_cut, settled, table
+from ..runtime import bounded_rows, bounded_sample, clean_id, cut, drop_cut, release, settled, table
 from .variants import lead_words, named_words, parse_name
 
 SEED = 11
@@ -131,13 +131,17 @@ def token_list():
     )
 
 
-def walks_of(recs: DataFrame) -> DataFrame:
-    """(x, y): tokens of every record and of a record that a walk over one of its tokens leads to. Each token keeps HOLDERS of its records, chosen by hash before the shuffle,
-    so no token's records are gathered; a record takes one of them by its own hash. Tokens are rows of the hashed table, so their holders are ROWS rows at most, which is broadcast."""
+def record_rows(recs: DataFrame) -> DataFrame:
+    """(r, t, s): a record, the rows of all its tokens, and of those that walks take."""
     row = lambda t: F.pmod(F.xxhash64(t), F.lit(ROWS)).cast("int")
     tok = recs.select(F.col("rid").alias("r"), F.array_distinct(F.transform(token_list(), row)).alias("t")).where("size(t) > 0")
     short = F.slice(F.array_sort(F.transform("t", lambda t: F.struct(F.xxhash64(t, F.col("r")).alias("h"), t.alias("t")))), 1, WALK_TOKENS)["t"]
-    tok = cut(tok.select("r", "t", short.alias("s")))
+    return cut(tok.select("r", "t", short.alias("s")))
+
+
+def walks_of(tok: DataFrame) -> DataFrame:
+    """(x, y): tokens of every record and of a record that a walk over one of its tokens leads to. Each token keeps HOLDERS of its records, chosen by hash before the shuffle,
+    so no token's records are gathered; a record takes one of them by its own hash. Tokens are rows of the hashed table, so their holders are ROWS rows at most, which is broadcast."""
     each = tok.select("r", F.explode("t").alias("k"))
     held = each.groupBy("k").agg(*(F.min(F.struct(F.xxhash64("r", F.lit(i)), "r"))["r"].alias(f"h{i}") for i in range(HOLDERS)))
     held = held.select("k", F.array(*(f"h{i}" for i in range(HOLDERS))).alias("hs"))
@@ -170,11 +174,15 @@ def train_vectors(recs: DataFrame) -> np.ndarray:
     def frame(got):
         return pd.DataFrame({"row": list(got), "n": [n for _, n in got.values()], "v": [v.tolist() for v, _ in got.values()]})
 
-    walks = walks_of(recs)
+    tok = record_rows(recs)
+    walks = walks_of(tok)
     trained = walks.repartition(max(1, recs.count() * WALKS // CHUNK)).mapInPandas(run, "row int, n bigint, v array<float>")
     mean = trained.groupBy("row").agg(F.sum("n").alias("n"), *(F.sum(F.col("v")[i] * F.col("n")).alias(f"v{i}") for i in range(DIM)))
     out = np.zeros((ROWS, DIM), dtype=np.float32)
     rows = bounded_rows(mean, ROWS, "trained rows")
+    del walks, trained, mean
+    drop_cut(tok)
+    release(recs.sparkSession)
     if rows:
         at = np.array([r["row"] for r in rows])
         m = np.array([[r[f"v{i}"] / max(r["n"], 1) for i in range(DIM)] for r in rows], dtype=np.float32)
@@ -363,10 +371,16 @@ def candidates(h: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     # most buckets hold records of one side only; they go no further than their counts
     both = keyed.groupBy("key").agg(F.count_if("work").cast("int").alias("a"), F.count_if(~F.col("work")).cast("int").alias("m")).where("a > 0 and m > 0")
     both = cut(both.select("key", F.ceil(F.col("a") / bucket_rows).cast("int").alias("parts")))
+    release(h.sparkSession)
     met = keyed.join(both, "key")
     a = met.where("work").select("key", F.col("rid").alias("work"), F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int").alias("part"))
     m = met.where("not work").select("key", F.col("rid").alias("track"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    pairs = a.join(m, ["key", "part"]).groupBy("work", "track").agg(F.max(F.shiftright("key", 56) == 60).alias("told"))
+    pairs = cut(a.join(m, ["key", "part"]).groupBy("work", "track").agg(F.max(F.shiftright("key", 56) == 60).alias("told")))
+    # the buckets of all records are shuffled no longer once their pairs are written
+    del met, a, m
+    drop_cut(both)
+    del both
+    release(h.sparkSession)
     signs = lambda n, c: h.select(F.col("rid").alias(n), F.col("signs").alias(c))
     near = F.bit_count(F.col("sa").bitwiseXOR(F.col("sm"))) <= TITLE_SIGNS
     return pairs.join(signs("work", "sa"), "work").join(signs("track", "sm"), "track").where(near | F.col("told")).select("work", "track")
@@ -388,7 +402,8 @@ def compare(spark, sf_dir: str, trained: np.ndarray | None = None) -> DataFrame:
     recs = settled(lambda: records(spark, sf_dir))
     h = cut(hashed(recs, trained))
     drop_cut(recs)
-    pairs = candidates(h)
+    pairs = cut(candidates(h))
+    release(spark)
     slim = h.select(
         "rid", "side", F.xxhash64("core").alias("title_hash"), F.length("core").alias("letters"), F.xxhash64("code").alias("code_hash"), F.col("code").isNotNull().alias("coded"), "vec", "title_vec",
         F.transform("writers", lambda p: F.xxhash64(p)).alias("writers"), F.transform("artists", lambda p: F.xxhash64(p)).alias("artists"),

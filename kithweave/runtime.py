@@ -58,11 +58,16 @@ def settled(make: Callable[[], DataFrame]) -> DataFrame:
         drop_cut(c)
     # the shuffle files of what led there go with its plans, once nothing refers to these
     del df, inner, c
-    gc.collect()
-    out.sparkSession._jvm.System.gc()
+    release(out.sparkSession)
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Collects the driver's garbage: the shuffle files of plans that nothing refers to any more are removed with them. Between two cuts that shuffle much, so that both aren't on disk at once."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_cut(df: DataFrame | None) -> None:
     """Removes the files of a cut that nothing reads any more."""
     path = getattr(df, "_kithweave_path", None)
