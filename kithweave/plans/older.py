@@ -10,7 +10,7 @@ from ..functions import strings as S
 from ..functions.credits import credit_parts_col
 from ..functions.similarity import jaro_winkler_col
 from ..functions.titles import title_variants_col
-from ..operators import composite, ids, linkage
+from ..operators import composite, ids, linkage, pairs
 from ..runtime import clean_id, table
 from . import reference as R
 
@@ -49,15 +49,15 @@ def variant_titles(df: DataFrame, key: str) -> DataFrame:
     return t.select(key, "original_title", S.cleanse_title(F.col("_t")).alias("title"), "iswc").where("title <> ''").distinct()
 
 
-def canonical_matches(spark, d) -> DataFrame:
+def canonical_matched(spark, d) -> pairs.Matched:
     """The canonical pipeline: variants of both sides' titles, cleansed; equal ones, similar ones in blocks, both together with dense ids of the pairs."""
     a, m = variant_titles(table(spark, d, "adcworks"), "apra_work_id"), variant_titles(table(spark, d, "tracks"), "track_id")
-    return ids.dense_ids(linkage.combine_titles(linkage.exact_titles(a, m), linkage.prefix_block_titles(a, m)), ["apra_work_id", "track_id"], "rdc_works_id")
+    return pairs.matched(a, m).numbered()
 
 
 @query()
 def ref_canonical_matches(spark, d):
-    return canonical_matches(spark, d)
+    return canonical_matched(spark, d).rows()
 
 
 @query()
@@ -79,9 +79,10 @@ def _canonical_names(spark, d, kind: str) -> DataFrame:
         rows = table(spark, d, tab).select(clean_id(rec).alias(rec), F.col(ent).alias("entity_id"), F.col(name).alias("nm")).where(F.trim("nm") != "").where(F.col(rec).isNotNull()).distinct()
         parts = credit_parts_col("nm", "artist" if entity == "artist" else "composer", quotes_split=side == "a" and entity == "artist")
         out.append(composite.count_parts(composite.expand_names(rows, "nm", entity, parts=parts), rec))
-    pairs = canonical_matches(spark, d).select(clean_id("apra_work_id").alias("apra_work_id"), clean_id("track_id").alias("track_id"), "rdc_works_id").distinct()
-    scored = (composite.match_composers if kind == "composers" else composite.match_artists)(*out, pairs.select("apra_work_id", "track_id").distinct())
-    return scored.join(pairs, ["apra_work_id", "track_id"])
+    met = canonical_matched(spark, d)
+    works = met.works.select("cls", clean_id("apra_work_id").alias("apra_work_id"), "before").where("apra_work_id is not null").distinct()
+    tracks = met.tracks.select("cls", clean_id("track_id").alias("track_id"), "rank").where("track_id is not null").distinct()
+    return pairs.names_over(*out, works, tracks, kind, "names")
 
 
 _PLAIN = r"trim(regexp_replace(translate(regexp_replace(replace(lower(coalesce(title, '')), 'ς', 'σ'), '^(a|an|the)\s+', ''), {p}, ''), '\s+', ' ', 'g'), ' ')".format(p="'" + O.PUNCTUATION.replace("'", "''") + "'")
@@ -221,9 +222,10 @@ def ref_best_without_code(spark, d):
     lone = a.join(common, "iswc", "left_anti").select("adc_artist_id", "a").distinct()
     texts = m.groupBy("m").agg(F.min("recordings_id").alias("recordings_id"))
     block = lambda c: F.substring(c, 1, 3)
-    near = lone.select("a").distinct().withColumn("k", block("a")).join(texts.select("m").withColumn("k", block("m")), "k").drop("k")
-    pairs = lone.join(_scored_names(near, 0.92), "a").join(texts, "m")
-    return ids.best_of(pairs, ["adc_artist_id", "a"], [F.desc("score"), F.asc("recordings_id")]).select("adc_artist_id", "a", "recordings_id", "m", "score")
+    near = pairs.near_pairs(lone.select(block("a").alias("k"), F.col("a").alias("t")), texts.select(block("m").alias("k"), F.col("m").alias("t")), 0.92)
+    near = near.select(F.col("x").alias("a"), F.col("y").alias("m"), F.round("score", 9).alias("score")).join(texts, "m")
+    # the best name is the same for all artists of one name
+    return lone.join(ids.best_of(near, ["a"], [F.desc("score"), F.asc("recordings_id")]), "a").select("adc_artist_id", "a", "recordings_id", "m", "score")
 
 
 # --- older totals -----------------------------------------------------------------------------------------------------------------
