@@ -129,7 +129,8 @@ class Matched:
         """(apra_work_id, track_id, apra_title, muzooka_title, score, iswc_match, ...) of all pairs, or of `pairs` (apra_work_id, up), up being the track's id in capitals. keys: with
         PARTS, by which all rows of a pair are in one partition already, so that grouping by these and more shuffles nothing."""
         if pairs is None:
-            j = product(self.works, self.tracks.withColumnRenamed("x", "_x"), keys=True).where("x = _x").drop("_x")
+            # as two comparisons, since an equation would become a key of the join and change what it is partitioned by
+            j = product(self.works, self.tracks.withColumnRenamed("x", "_x"), keys=True).where("x <= _x and x >= _x").drop("_x")
         else:
             j = pairs.join(self.works, "apra_work_id").join(self.tracks.withColumn("up", F.upper("track_id")), ["cls", "x", "up"]).drop("up")
         # a title of a work or a track may come with several identifiers

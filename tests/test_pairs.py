@@ -81,3 +81,8 @@ def test_pairs_are_not_shuffled(spark, folder):
     plan = queries.QUERIES["ref_title_matches"](spark, folder(**PAIRS_DIR))._jdf.queryExecution().executedPlan().toString()
     above = plan[: re.search(r"SortMergeJoin|BroadcastHashJoin", plan).start()]
     assert "Exchange" not in above
+
+
+def test_grouping_by_parts_shuffles_nothing(spark, sides):
+    plan = pairs.matched(*sides).rows(keys=True).groupBy(*pairs.PARTS, "apra_work_id", "track_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: re.search("SortMergeJoin", plan).start()]
