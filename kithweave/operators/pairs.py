@@ -49,9 +49,9 @@ def near_pairs(x: DataFrame, y: DataFrame, least: float, scorer: str = "jaro_win
         same = None
         if len(block) > 1:
             at = {k: n for n, k in enumerate(dict.fromkeys(ks[0]))}
-            same = np.array([at[k] for k in ks[0]])[:, None] == np.array([at[k] for k in ks[1]])[None, :]
+            same = np.array([at[k] for k in ks[0]], dtype=np.int32)[:, None] == np.array([at[k] for k in ks[1]], dtype=np.int32)[None, :]
         if gap is not None:
-            close = np.abs(np.array([len(t) for t in xs])[:, None] - np.array([len(t) for t in ys])[None, :]) <= gap
+            close = np.abs(np.array([len(t) for t in xs], dtype=np.int32)[:, None] - np.array([len(t) for t in ys], dtype=np.int32)[None, :]) <= gap
             same = close if same is None else same & close
         got = [(ks[0][i], xs[i], ys[j], s) for i, j, s in near(xs, ys, least, same)]
         return pd.DataFrame(got, columns=["k", "x", "y", "score"])

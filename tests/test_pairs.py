@@ -1,11 +1,14 @@
 """Pairs by classes of titles: the same rows as the plain joins, and no shuffle of pairs."""
 
 import itertools
+import random
 import re
 
+import numpy as np
 import pytest
 
 from kithweave import queries
+from kithweave.functions import near
 from kithweave.functions.near import near_jaro_winkler, near_names
 from kithweave.functions.people import match_names
 from kithweave.functions.similarity import jaro_winkler
@@ -86,3 +89,24 @@ def test_pairs_are_not_shuffled(spark, folder):
 def test_grouping_by_parts_shuffles_nothing(spark, sides):
     plan = pairs.matched(*sides).rows(keys=True).groupBy(*pairs.PARTS, "apra_work_id", "track_id").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan[: re.search("SortMergeJoin", plan).start()]
+
+
+def test_similarity_by_bits_is_exact():
+    """Whole arrays at once give the very numbers of one pair at a time, up to the longest text that a number's bits hold and beyond it."""
+    chance = random.Random(7)
+    texts = ["".join(chance.choice(letters) for _ in range(chance.randint(1, n))) for letters, n in (("AB", 9), ("ABCD Ö李😀", 30), ("ABC ", near.BITS)) for _ in range(40)]
+    codes, n = near._codes(texts), len(texts)
+    got = near.jaro_winkler_of(codes, codes, np.repeat(np.arange(n), n), np.tile(np.arange(n), n))
+    assert got.tolist() == [jaro_winkler(x, y) for x in texts for y in texts]
+    long = ["A" * 70 + t for t in texts[:20]] + texts[80:]
+    assert {(i, j): s for i, j, s in near_jaro_winkler(long, long, 0.9)} == {(i, j): s for (i, x), (j, y) in itertools.product(enumerate(long), repeat=2) if (s := jaro_winkler(x, y)) >= 0.9}
+
+
+@pytest.mark.parametrize("kind", ["composers", "artists"])
+def test_parts_are_scored_once(spark, sides, kind, monkeypatch):
+    """The scores of parts that the search for pairs has found aren't made again for every pair of parts of the pairs."""
+    monkeypatch.setattr(composite, "match_names_col", lambda *_: pytest.fail("scored twice"))
+    one = lambda rows, key: composite.count_parts(composite.expand_names(spark.createDataFrame(rows, f"{key} string, entity_id string, nm string"), "nm", "artist"), key)
+    a, m = one([("W1", "A1", "ANNA UNDERHILL & BENNO STRANDVIK")], "apra_work_id"), one([("T1", "1", "UNDERHILL ANNA")], "track_id")
+    got = pairs.names_over(a, m, *pairs.matched(*sides).sides(), kind, "names").where("name_match_score > 0").collect()
+    assert {(r.apra_work_id, r.track_id) for r in got} == {("W1", "T1")}
