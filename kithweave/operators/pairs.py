@@ -128,15 +128,17 @@ class Matched:
     def rows(self, pairs: DataFrame | None = None, keys: bool = False) -> DataFrame:
         """(apra_work_id, track_id, apra_title, muzooka_title, score, iswc_match, ...) of all pairs, or of `pairs` (apra_work_id, up), up being the track's id in capitals. keys: with
         PARTS, by which all rows of a pair are in one partition already, so that grouping by these and more shuffles nothing."""
+        # a title of a work or a track may come with several identifiers; what can be told of one side is told before the pairs are made
+        works = self.works.withColumn("_told", F.filter("codes", lambda c: c != "")).withColumn("_one", F.size("codes") == 1).drop("codes")
+        tracks = self.tracks.withColumn("_one_m", F.size("codes_m") == 1)
         if pairs is None:
             # as two comparisons, since an equation would become a key of the join and change what it is partitioned by
-            j = product(self.works, self.tracks.withColumnRenamed("x", "_x"), keys=True).where("x <= _x and x >= _x").drop("_x")
+            j = product(works, tracks.withColumnRenamed("x", "_x"), keys=True).where("x <= _x and x >= _x").drop("_x")
         else:
-            j = pairs.join(self.works, "apra_work_id").join(self.tracks.withColumn("up", F.upper("track_id")), ["cls", "x", "up"]).drop("up")
-        # a title of a work or a track may come with several identifiers
-        alike = F.arrays_overlap(F.filter("codes", lambda c: c != ""), "codes_m")
-        flags = F.when(~alike, F.array(F.lit("N"))).when((F.size("codes") == 1) & (F.size("codes_m") == 1), F.array(F.lit("Y"))).otherwise(F.array(F.lit("Y"), F.lit("N")))
-        j = j.withColumn("iswc_match", F.explode(flags)).withColumnsRenamed({"x": "apra_title", "y": "muzooka_title"})
+            j = pairs.join(works, "apra_work_id").join(tracks.withColumn("up", F.upper("track_id")), ["cls", "x", "up"]).drop("up")
+        alike = (F.size("_told") > 0) & F.arrays_overlap("_told", "codes_m")
+        flags = F.when(~alike, F.array(F.lit("N"))).when(F.col("_one") & F.col("_one_m"), F.array(F.lit("Y"))).otherwise(F.array(F.lit("Y"), F.lit("N")))
+        j = j.withColumn("iswc_match", F.explode(flags)).drop("_told", "_one", "_one_m").withColumnsRenamed({"x": "apra_title", "y": "muzooka_title"})
         rank = [(F.col("before") + F.col("rank")).alias("rdc_works_id")] if "rank" in j.columns else []
         return j.select("apra_work_id", "track_id", "apra_title", "muzooka_title", "score", "iswc_match", *rank, *[c for c in j.columns if c.startswith("_") and c != "_part"], *(PARTS if keys else []))
 
@@ -156,16 +158,19 @@ def product(works: DataFrame, tracks: DataFrame, keys: bool = False) -> DataFram
 
 
 def matched(a: DataFrame, m: DataFrame, keep: bool = True) -> Matched:
-    """Works and tracks of equal or of similar titles. A pair that a similar title joins isn't joined by equal ones too. keep: class rows are written once, as several steps read them."""
+    """Works and tracks of equal or of similar titles. A pair that a similar title joins isn't joined by equal ones too. keep: both sides, cleansed, and the class rows are written once, as several steps read them."""
     works = a.groupBy("apra_work_id", F.col("title").alias("x")).agg(F.collect_set("iswc").alias("codes"))
     named = works.groupBy("apra_work_id").agg(F.array_sort(F.collect_set("x")).alias("xs"))
     # cleansed titles hold no line ends
     named = named.select(F.col("apra_work_id").alias("_w"), F.array_join("xs", "\n").alias("cls"))
     works = works.join(named, F.col("apra_work_id").eqNullSafe(F.col("_w"))).select("cls", "apra_work_id", "x", "codes")
+    tracks = m.groupBy("track_id", F.col("title").alias("y")).agg(F.collect_set("iswc").alias("codes_m"))
+    if keep:
+        works, tracks = cut(works), cut(tracks)
     titles = works.select("cls", "x").distinct()
-    xs, tracks = titles.select("x").distinct(), m.groupBy("track_id", F.col("title").alias("y")).agg(F.collect_set("iswc").alias("codes_m"))
+    xs = titles.select("x").distinct()
     same = tracks.join(xs, F.col("y") == F.col("x"), "left_semi").select(F.col("y").alias("x"), "y", F.lit(100.0).alias("score"), "track_id", "codes_m", F.lit(False).alias("fuzzy"))
-    close = fuzzy_texts(a, m).join(tracks, "y").select("x", "y", "score", "track_id", "codes_m", F.lit(True).alias("fuzzy"))
+    close = fuzzy_texts(works.select(F.col("x").alias("title")), tracks.select(F.col("y").alias("title"))).join(tracks, "y").select("x", "y", "score", "track_id", "codes_m", F.lit(True).alias("fuzzy"))
     met = titles.join(same.unionByName(close), "x")
     told = F.max("fuzzy").over(Window.partitionBy("cls", "track_id"))
     met = met.withColumn("_f", told).where("fuzzy or not _f").select("cls", "track_id", "x", "y", "score", "codes_m")
