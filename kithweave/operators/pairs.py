@@ -178,12 +178,13 @@ def matched(a: DataFrame, m: DataFrame, keep: bool = True) -> Matched:
 
 
 # --- names ------------------------------------------------------------------------------------------------------------------------
-def hit_pairs(a: DataFrame, m: DataFrame, works: DataFrame, tracks: DataFrame, scorer: str) -> DataFrame:
-    """(apra_work_id, track_id) of the pairs of a class of which any two parts of names are alike."""
+def hit_pairs(a: DataFrame, m: DataFrame, works: DataFrame, tracks: DataFrame, scorer: str) -> tuple[DataFrame, DataFrame]:
+    """(apra_work_id, track_id) of the pairs of a class of which any two parts of names are alike; and (apra_part, muzooka_part, part_score) of the parts that are, which are all that count."""
     p = works.join(a.select("apra_work_id", F.explode("delimited_parts").alias("t")).distinct(), "apra_work_id").select("cls", "apra_work_id", "t")
     q = tracks.join(m.select("track_id", F.explode("delimited_parts").alias("t")).distinct(), "track_id").select("cls", "track_id", "t")
-    near = near_pairs(p.select(F.col("cls").alias("k"), "t"), q.select(F.col("cls").alias("k"), "t"), composite.LEAST_PART, scorer).select(F.col("k").alias("cls"), "x", "y")
-    return near.join(p.withColumnRenamed("t", "x"), ["cls", "x"]).join(q.withColumnRenamed("t", "y"), ["cls", "y"]).select("apra_work_id", "track_id").distinct()
+    near = cut(near_pairs(p.select(F.col("cls").alias("k"), "t"), q.select(F.col("cls").alias("k"), "t"), composite.LEAST_PART, scorer).withColumnRenamed("k", "cls"))
+    hits = near.select("cls", "x", "y").join(p.withColumnRenamed("t", "x"), ["cls", "x"]).join(q.withColumnRenamed("t", "y"), ["cls", "y"]).select("apra_work_id", "track_id").distinct()
+    return hits, near.groupBy(F.col("x").alias("apra_part"), F.col("y").alias("muzooka_part")).agg(F.max("score").alias("part_score"))
 
 
 def without(works: DataFrame, hits: DataFrame) -> DataFrame:
@@ -199,8 +200,11 @@ def names_over(a: DataFrame, m: DataFrame, works: DataFrame, tracks: DataFrame,
     """composite.match_composers or match_artists over all pairs of the classes. Pairs of which no two parts are alike score nothing, so only the others are scored; the rest is the
     names of the works beside the counts of the tracks. works may have `before`, tracks `rank`; their sum is the pair's rdc_works_id then."""
     given = "rank" in tracks.columns
-    hits = cut(hit_pairs(a, m, works, tracks, scorer))
-    told = (composite.match_composers if kind == "composers" else composite.match_artists)(a, m, hits, scorer)
+    # the names of both sides are cut into parts once, and read by several steps
+    a, m = cut(a), cut(m)
+    hits, texts = hit_pairs(a, m, works, tracks, scorer)
+    hits = cut(hits)
+    told = (composite.match_composers if kind == "composers" else composite.match_artists)(a, m, hits, scorer, texts)
     if given:
         ids = hits.join(works, "apra_work_id").join(tracks, ["cls", "track_id"]).select("apra_work_id", "track_id", (F.col("before") + F.col("rank")).alias("rdc_works_id"))
         told = told.join(ids, ["apra_work_id", "track_id"])
