@@ -30,18 +30,18 @@ def count_parts(df: DataFrame, record: str) -> DataFrame:
     return df.withColumn("part_ct", F.size("delimited_parts").cast("bigint")).join(totals, record)
 
 
-def part_scores(a: DataFrame, m: DataFrame, pairs: DataFrame, scorer: str = "names", least: float = LEAST_PART, texts: DataFrame | None = None) -> DataFrame:
+def part_scores(a: DataFrame, m: DataFrame, pairs: DataFrame, scorer: str = "names", least: float = LEAST_PART, best: DataFrame | None = None) -> DataFrame:
     """(apra_work_id, track_id, entity_id, apra_part, best): the best score, at least `least`, of each part of an A name among the parts on the track.
 
-    The distinct pairs of parts are scored once, unless texts has (apra_part, muzooka_part, part_score) of all that count. One M part may serve several A parts.
+    The distinct pairs of parts are scored once, unless `best` has (apra_work_id, track_id, apra_part, best) of all pairs already. One M part may serve several A parts.
     """
     x = a.select("apra_work_id", "entity_id", F.explode("delimited_parts").alias("apra_part")).distinct()
+    if best is not None:
+        return x.join(best, ["apra_work_id", "apra_part"]).select("apra_work_id", "track_id", "entity_id", "apra_part", "best")
     y = m.select("track_id", F.explode("delimited_parts").alias("muzooka_part")).distinct()
     both = x.join(pairs, "apra_work_id").join(y, "track_id")
-    if texts is None:
-        score = match_names_col("apra_part", "muzooka_part")["enhanced_score"] if scorer == "names" else jaro_winkler_col("apra_part", "muzooka_part")
-        texts = both.select("apra_part", "muzooka_part").distinct().withColumn("part_score", score)
-    texts = texts.where(F.col("part_score") >= least)
+    score = match_names_col("apra_part", "muzooka_part")["enhanced_score"] if scorer == "names" else jaro_winkler_col("apra_part", "muzooka_part")
+    texts = both.select("apra_part", "muzooka_part").distinct().withColumn("part_score", score).where(F.col("part_score") >= least)
     return both.join(texts, ["apra_part", "muzooka_part"]).groupBy("apra_work_id", "track_id", "entity_id", "apra_part").agg(F.max("part_score").alias("best"))
 
 
@@ -51,12 +51,12 @@ def _candidates(a: DataFrame, m: DataFrame, pairs: DataFrame) -> DataFrame:
     return pairs.join(a.select("apra_work_id", "entity_id", "normalized_name", F.col("part_ct").alias("apra_part_ct"), F.col("total_names").alias("apra_total")).distinct(), "apra_work_id").join(meta.distinct(), "track_id", "left")
 
 
-def match_artists(a: DataFrame, m: DataFrame, pairs: DataFrame, scorer: str = "names", texts: DataFrame | None = None) -> DataFrame:
+def match_artists(a: DataFrame, m: DataFrame, pairs: DataFrame, scorer: str = "names", best: DataFrame | None = None) -> DataFrame:
     """Artists: the sum of the best part scores over the larger number of parts for each name, and the sum over names for each pair of work and track.
 
     A name of several rows of counts keeps the row of the highest score, then of the larger counts.
     """
-    scores = part_scores(a, m, pairs, scorer, texts=texts).groupBy("apra_work_id", "track_id", "entity_id").agg(F.sum("best").alias("part_match_score"))
+    scores = part_scores(a, m, pairs, scorer, best=best).groupBy("apra_work_id", "track_id", "entity_id").agg(F.sum("best").alias("part_match_score"))
     c = _candidates(a, m, pairs).join(scores, ["apra_work_id", "track_id", "entity_id"], "left").withColumn("part_match_score", F.coalesce("part_match_score", F.lit(0.0)))
     most = F.greatest(F.coalesce("apra_part_ct", F.lit(0)), F.coalesce("muzooka_part_ct", F.lit(0)))
     c = c.withColumn("name_match_score", F.round(F.when(most > 0, F.col("part_match_score") / most).otherwise(0.0), 6))
@@ -67,9 +67,9 @@ def match_artists(a: DataFrame, m: DataFrame, pairs: DataFrame, scorer: str = "n
     )
 
 
-def match_composers(a: DataFrame, m: DataFrame, pairs: DataFrame, scorer: str = "names", texts: DataFrame | None = None) -> DataFrame:
+def match_composers(a: DataFrame, m: DataFrame, pairs: DataFrame, scorer: str = "names", best: DataFrame | None = None) -> DataFrame:
     """Composers: the best part score of each name, how many parts matched, and the matched share of a work's composers on a track."""
-    scores = part_scores(a, m, pairs, scorer, texts=texts).groupBy("apra_work_id", "track_id", "entity_id").agg(F.max("best").alias("name_match_score"), F.count(F.lit(1)).alias("parts_matched"))
+    scores = part_scores(a, m, pairs, scorer, best=best).groupBy("apra_work_id", "track_id", "entity_id").agg(F.max("best").alias("name_match_score"), F.count(F.lit(1)).alias("parts_matched"))
     c = _candidates(a, m, pairs).join(scores, ["apra_work_id", "track_id", "entity_id"], "left")
     each = c.groupBy("apra_work_id", "track_id", "entity_id").agg(
         F.max(F.coalesce("name_match_score", F.lit(0.0))).alias("name_match_score"), F.max(F.coalesce("parts_matched", F.lit(0))).alias("parts_matched"), F.max("apra_total").alias("apra_total"), F.max(F.coalesce("muzooka_total", F.lit(0))).alias("muzooka_total")

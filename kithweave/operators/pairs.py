@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.near import near_jaro_winkler, near_names
-from ..runtime import cut
+from ..runtime import cut, kept, release, settled
 from . import composite
 
 #: Texts of a block that are compared by one matrix; works of a class from which on its tracks are repeated for parts of it.
@@ -160,6 +160,8 @@ def product(works: DataFrame, tracks: DataFrame, keys: bool = False) -> DataFram
 def matched(a: DataFrame, m: DataFrame, keep: bool = True) -> Matched:
     """Works and tracks of equal or of similar titles. A pair that a similar title joins isn't joined by equal ones too. keep: both sides, cleansed, and the class rows are written once, as several steps read them."""
     works = a.groupBy("apra_work_id", F.col("title").alias("x")).agg(F.collect_set("iswc").alias("codes"))
+    if keep:  # else titles are cleansed once more for the classes
+        works = cut(works)
     named = works.groupBy("apra_work_id").agg(F.array_sort(F.collect_set("x")).alias("xs"))
     # cleansed titles hold no line ends
     named = named.select(F.col("apra_work_id").alias("_w"), F.array_join("xs", "\n").alias("cls"))
@@ -178,13 +180,17 @@ def matched(a: DataFrame, m: DataFrame, keep: bool = True) -> Matched:
 
 
 # --- names ------------------------------------------------------------------------------------------------------------------------
-def hit_pairs(a: DataFrame, m: DataFrame, works: DataFrame, tracks: DataFrame, scorer: str) -> tuple[DataFrame, DataFrame]:
-    """(apra_work_id, track_id) of the pairs of a class of which any two parts of names are alike; and (apra_part, muzooka_part, part_score) of the parts that are, which are all that count."""
-    p = works.join(a.select("apra_work_id", F.explode("delimited_parts").alias("t")).distinct(), "apra_work_id").select("cls", "apra_work_id", "t")
-    q = tracks.join(m.select("track_id", F.explode("delimited_parts").alias("t")).distinct(), "track_id").select("cls", "track_id", "t")
+def hit_scores(a: DataFrame, m: DataFrame, works: DataFrame, tracks: DataFrame, scorer: str) -> DataFrame:
+    """(apra_work_id, track_id, apra_part, best): of the pairs of a class of which any two parts of names are alike, each part of the work that is with its best score on the track.
+    With rdc_works_id where works have `before` and tracks `rank`."""
+    given = "rank" in tracks.columns
+    p = works.join(a.select("apra_work_id", F.explode("delimited_parts").alias("t")).distinct(), "apra_work_id").select("cls", "apra_work_id", "t", *(["before"] if given else []))
+    q = tracks.join(m.select("track_id", F.explode("delimited_parts").alias("t")).distinct(), "track_id").select("cls", "track_id", "t", *(["rank"] if given else []))
     near = cut(near_pairs(p.select(F.col("cls").alias("k"), "t"), q.select(F.col("cls").alias("k"), "t"), composite.LEAST_PART, scorer).withColumnRenamed("k", "cls"))
-    hits = near.select("cls", "x", "y").join(p.withColumnRenamed("t", "x"), ["cls", "x"]).join(q.withColumnRenamed("t", "y"), ["cls", "y"]).select("apra_work_id", "track_id").distinct()
-    return hits, near.groupBy(F.col("x").alias("apra_part"), F.col("y").alias("muzooka_part")).agg(F.max("score").alias("part_score"))
+    release(near.sparkSession)
+    alike = near.join(p.withColumnRenamed("t", "x"), ["cls", "x"]).join(q.withColumnRenamed("t", "y"), ["cls", "y"])
+    number = [(F.col("before") + F.col("rank")).alias("rdc_works_id")] if given else []
+    return alike.groupBy("apra_work_id", "track_id", F.col("x").alias("apra_part"), *number).agg(F.max("score").alias("best"))
 
 
 def without(works: DataFrame, hits: DataFrame) -> DataFrame:
@@ -200,14 +206,17 @@ def names_over(a: DataFrame, m: DataFrame, works: DataFrame, tracks: DataFrame,
     """composite.match_composers or match_artists over all pairs of the classes. Pairs of which no two parts are alike score nothing, so only the others are scored; the rest is the
     names of the works beside the counts of the tracks. works may have `before`, tracks `rank`; their sum is the pair's rdc_works_id then."""
     given = "rank" in tracks.columns
-    # the names of both sides are cut into parts once, and read by several steps
-    a, m = cut(a), cut(m)
-    hits, texts = hit_pairs(a, m, works, tracks, scorer)
-    hits = cut(hits)
-    told = (composite.match_composers if kind == "composers" else composite.match_artists)(a, m, hits, scorer, texts)
-    if given:
-        ids = hits.join(works, "apra_work_id").join(tracks, ["cls", "track_id"]).select("apra_work_id", "track_id", (F.col("before") + F.col("rank")).alias("rdc_works_id"))
-        told = told.join(ids, ["apra_work_id", "track_id"])
+    # the names of both sides are cut into parts once, and read by several steps; so are the classes. What a step shuffles is off the disk when the next begins
+    a, m, works, tracks = map(kept, (a, m, works, tracks))
+    best = settled(lambda: hit_scores(a, m, works, tracks, scorer))
+    hits = best.select("apra_work_id", "track_id").distinct()
+
+    def scored() -> DataFrame:
+        match = composite.match_composers if kind == "composers" else composite.match_artists
+        told = match(a, m, hits, scorer, best.select("apra_work_id", "track_id", "apra_part", "best").distinct() if given else best)
+        return told.join(best.select("apra_work_id", "track_id", "rdc_works_id").distinct(), ["apra_work_id", "track_id"]) if given else told
+
+    told = settled(scored)
     zero = F.lit(0.0)
     if kind == "composers":
         names = a.groupBy("apra_work_id", "entity_id").agg(F.max("total_names").alias("apra_total"))

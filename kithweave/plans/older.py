@@ -11,7 +11,7 @@ from ..functions.credits import credit_parts_col
 from ..functions.similarity import jaro_winkler_col
 from ..functions.titles import title_variants_col
 from ..operators import composite, ids, linkage, pairs
-from ..runtime import clean_id, table
+from ..runtime import clean_id, cut, settled, table
 from . import reference as R
 
 QUERIES: dict = {}
@@ -74,15 +74,23 @@ def ref_canonical_artists(spark, d):
 
 def _canonical_names(spark, d, kind: str) -> DataFrame:
     sides = {"composers": (("adc_composers", "apra_work_id", "adc_composer_id", "name"), ("composers", "track_id", "composer_id", "composer")), "artists": (("adcartists", "apra_work_id", "adc_artist_id", "name"), ("recordings", "track_id", "recordings_id", "artist_name"))}
-    entity, out = kind.removesuffix("s"), []
-    for side, (tab, rec, ent, name) in zip("am", sides[kind]):
+    entity = kind.removesuffix("s")
+
+    def names(side: str, tab: str, rec: str, ent: str, name: str) -> DataFrame:
         rows = table(spark, d, tab).select(clean_id(rec).alias(rec), F.col(ent).alias("entity_id"), F.col(name).alias("nm")).where(F.trim("nm") != "").where(F.col(rec).isNotNull()).distinct()
         parts = credit_parts_col("nm", "artist" if entity == "artist" else "composer", quotes_split=side == "a" and entity == "artist")
-        out.append(composite.count_parts(composite.expand_names(rows, "nm", entity, parts=parts), rec))
-    met = canonical_matched(spark, d)
-    works = met.works.select("cls", clean_id("apra_work_id").alias("apra_work_id"), "before").where("apra_work_id is not null").distinct()
-    tracks = met.tracks.select("cls", clean_id("track_id").alias("track_id"), "rank").where("track_id is not null").distinct()
-    return pairs.names_over(*out, works, tracks, kind, "names")
+        # credits are split once, not for each of the steps that read them
+        rows = cut(rows.withColumn("_parts", parts))
+        return composite.count_parts(composite.expand_names(rows, "nm", entity, parts=F.col("_parts")).drop("_parts"), rec)
+
+    def classes() -> tuple[DataFrame, DataFrame]:
+        met = canonical_matched(spark, d)
+        works = met.works.select("cls", clean_id("apra_work_id").alias("apra_work_id"), "before").where("apra_work_id is not null").distinct()
+        return works, met.tracks.select("cls", clean_id("track_id").alias("track_id"), "rank").where("track_id is not null").distinct()
+
+    works, tracks = settled(classes)
+    a, m = settled(lambda: tuple(names(side, *x) for side, x in zip("am", sides[kind])))
+    return pairs.names_over(a, m, works, tracks, kind, "names")
 
 
 _PLAIN = r"trim(regexp_replace(translate(regexp_replace(replace(lower(coalesce(title, '')), 'ς', 'σ'), '^(a|an|the)\s+', ''), {p}, ''), '\s+', ' ', 'g'), ' ')".format(p="'" + O.PUNCTUATION.replace("'", "''") + "'")

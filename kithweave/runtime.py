@@ -42,8 +42,8 @@ def cut(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return out
 
 
-def settled(make: Callable[[], DataFrame]) -> DataFrame:
-    """The result of `make` as a cut; the cuts that were made on the way to it are removed, so only results stay in the shared folder."""
+def settled(make: Callable[[], DataFrame | tuple[DataFrame, ...]]) -> DataFrame | tuple[DataFrame, ...]:
+    """The result of `make`, or each of several, as a cut; the cuts that were made on the way to it are removed, so only results stay in the shared folder."""
     _OPEN.append([])
     try:
         df, inner = make(), _OPEN[-1]
@@ -52,14 +52,15 @@ def settled(make: Callable[[], DataFrame]) -> DataFrame:
             drop_cut(c)
         raise
     _OPEN.pop()
-    out = cut(df)
+    several = isinstance(df, tuple)
+    out = tuple(map(cut, df if several else (df,)))
     c = None
     for c in inner:
         drop_cut(c)
     # the shuffle files of what led there go with its plans, once nothing refers to these
     del df, inner, c
-    release(out.sparkSession)
-    return out
+    release(out[0].sparkSession)
+    return out if several else out[0]
 
 
 def release(spark: SparkSession) -> None:
@@ -68,6 +69,11 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """df as a cut, itself if it is one."""
+    return df if hasattr(df, "_kithweave_path") else cut(df)
+
+
 def drop_cut(df: DataFrame | None) -> None:
     """Removes the files of a cut that nothing reads any more."""
     path = getattr(df, "_kithweave_path", None)

@@ -110,3 +110,12 @@ def test_parts_are_scored_once(spark, sides, kind, monkeypatch):
     a, m = one([("W1", "A1", "ANNA UNDERHILL & BENNO STRANDVIK")], "apra_work_id"), one([("T1", "1", "UNDERHILL ANNA")], "track_id")
     got = pairs.names_over(a, m, *pairs.matched(*sides).sides(), kind, "names").where("name_match_score > 0").collect()
     assert {(r.apra_work_id, r.track_id) for r in got} == {("W1", "T1")}
+
+
+@pytest.mark.parametrize("kind", ["composers", "artists"])
+def test_scored_pairs_are_written_before_the_rest(spark, sides, kind):
+    """What the scores of alike names shuffled is off the disk when the many other pairs are made."""
+    one = lambda rows, key: composite.count_parts(composite.expand_names(spark.createDataFrame(rows, f"{key} string, entity_id string, nm string"), "nm", "artist"), key)
+    a, m = one([("W1", "A1", "ANNA UNDERHILL & BENNO STRANDVIK")], "apra_work_id"), one([("T1", "1", "UNDERHILL ANNA")], "track_id")
+    told = pairs.names_over(a, m, *pairs.matched(*sides).sides(), kind, "names")._jdf.queryExecution().optimizedPlan().children().apply(0).toString()
+    assert "Join" not in told and "Aggregate" not in told
