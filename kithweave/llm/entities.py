@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.chars import bare
@@ -26,8 +26,10 @@ from .variants import lead_words, named_words, parse_name
 SEED = 11
 #: Numbers in a vector of tokens and of a title; rows of the hashed table of trained vectors, which bounds the model whatever the number of tokens.
 DIM, TITLE_DIM, ROWS = 32, 64, 1 << 14
-#: Walks from each record, holders kept of a token, tokens of a record taken by a walk, rounds of training, negative samples.
-WALKS, HOLDERS, WALK_TOKENS, ROUNDS, NEGATIVES = 1, 4, 8, 1, 2
+#: Walks from each record, rounds of training, negative samples.
+WALKS, ROUNDS, NEGATIVES = 1, 1, 2
+#: Holders of a token from which on it has several rings.
+RING = 2_000
 #: Walks trained together in a partition, which makes a table of its own, the tables being averaged; pairs of a centre and its context taken from a walk.
 CHUNK, PAIRS = 20_000, 24
 #: Longest vector while training, and the weight of the trained direction beside the seed's.
@@ -132,29 +134,34 @@ def token_list():
 
 
 def record_rows(recs: DataFrame) -> DataFrame:
-    """(r, t, s): a record, the rows of all its tokens, and of those that walks take."""
-    row = lambda t: F.pmod(F.xxhash64(t), F.lit(ROWS)).cast("int")
-    tok = recs.select(F.col("rid").alias("r"), F.array_distinct(F.transform(token_list(), row)).alias("t")).where("size(t) > 0")
-    short = F.slice(F.array_sort(F.transform("t", lambda t: F.struct(F.xxhash64(t, F.col("r")).alias("h"), t.alias("t")))), 1, WALK_TOKENS)["t"]
-    return cut(tok.select("r", "t", short.alias("s")))
-
-
-def walks_of(tok: DataFrame) -> DataFrame:
-    """(x, y): tokens of every record and of a record that a walk over one of its tokens leads to. Each token keeps HOLDERS of its records, chosen by hash before the shuffle,
-    so no token's records are gathered; a record takes one of them by its own hash. Tokens are rows of the hashed table, so their holders are ROWS rows at most, which is broadcast."""
-    each = tok.select("r", F.explode("t").alias("k"))
-    held = each.groupBy("k").agg(*(F.min(F.struct(F.xxhash64("r", F.lit(i)), "r"))["r"].alias(f"h{i}") for i in range(HOLDERS)))
-    held = held.select("k", F.array(*(f"h{i}" for i in range(HOLDERS))).alias("hs"))
-    step = None
+    """(r, k): a record and its tokens by their hashes, whose remainders are their rows."""
+    tok = recs.select(F.col("rid").alias("r"), F.array_distinct(F.transform(token_list(), lambda t: F.xxhash64(t))).alias("k"))
+    return cut(tok.where("size(k) > 0"))
+
+
+def walks_of(tok: DataFrame, ring: int = RING) -> DataFrame:
+    """(x, y): rows of all tokens of every record and of a record that a walk over one of its tokens leads to. The holders of a token stand in a ring by hash, and a walk goes to the
+    next one, so every holder of every token may be reached and none is left out. A token of more than `ring` holders has several rings, to which these are sent by hash; no token
+    is gathered in one task. A token's only holder leads to itself."""
+    each = tok.select("r", F.explode("k").alias("t"))
+    hot = each.groupBy("t").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > ring).select("t", F.ceil(F.col("n") / ring).alias("rings"))
+    to = None
     for i in range(WALKS):
-        part = tok.select("r", "s", _pick(i).alias("k"), F.lit(i).alias("i"))
-        step = part if step is None else step.unionByName(part)
-    to = step.join(F.broadcast(held), "k").select("s", F.get("hs", F.pmod(F.xxhash64("r", "i"), F.lit(HOLDERS)).cast("int")).alias("to"))
-    return to.join(tok.select(F.col("r").alias("to"), F.col("s").alias("y")), "to").select(F.col("s").alias("x"), "y")
+        held = tok.withColumn("own", _pick(i)).select("r", "own", F.explode("k").alias("t")).select("r", "t", (F.col("t") == F.col("own")).alias("walks"))
+        held = held.join(hot, "t", "left").withColumn("part", F.pmod(F.xxhash64("r", F.lit(i), F.lit("ring")), F.coalesce("rings", F.lit(1)))).drop("rings")
+        by = Window.partitionBy("t", "part").orderBy(F.xxhash64("r", F.lit(i)), "r")
+        to_next = held.withColumn("to", F.coalesce(F.lead("r").over(by), F.first("r").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))).where("walks").select("r", "to")
+        to = to_next if to is None else to.unionByName(to_next)
+    rows = lambda n, c: tok.select(F.col("r").alias(n), F.transform("k", _row).alias(c))
+    return to.join(rows("r", "x"), "r").join(rows("to", "y"), "to").select("x", "y")
+
+
+def _row(k):
+    return F.pmod(k, F.lit(ROWS)).cast("int")
 
 
 def _pick(i: int):
-    return F.array_min(F.transform("t", lambda t: F.struct(F.xxhash64(t, F.col("r"), F.lit(i)).alias("h"), t.alias("t"))))["t"]
+    return F.array_min(F.transform("k", lambda t: F.struct(F.xxhash64(t, F.col("r"), F.lit(i)).alias("h"), t.alias("t"))))["t"]
 
 
 def train_vectors(recs: DataFrame) -> np.ndarray:
