@@ -230,8 +230,11 @@ def ref_best_without_code(spark, d):
     lone = a.join(common, "iswc", "left_anti").select("adc_artist_id", "a").distinct()
     texts = m.groupBy("m").agg(F.min("recordings_id").alias("recordings_id"))
     block = lambda c: F.substring(c, 1, 3)
-    near = pairs.near_pairs(lone.select(block("a").alias("k"), F.col("a").alias("t")), texts.select(block("m").alias("k"), F.col("m").alias("t")), 0.92)
-    near = near.select(F.col("x").alias("a"), F.col("y").alias("m"), F.round("score", 9).alias("score")).join(texts, "m")
+    # an equal name is the best there is, and one only; no other needs to be looked for
+    equal = lone.select("a").distinct().join(texts, F.col("a") == F.col("m")).select("m", "a", F.lit(1.0).alias("score"), "recordings_id")
+    others = lone.join(texts.select(F.col("m").alias("a")), "a", "left_anti")
+    near = pairs.near_pairs(others.select(block("a").alias("k"), F.col("a").alias("t")), texts.select(block("m").alias("k"), F.col("m").alias("t")), 0.92)
+    near = near.select(F.col("x").alias("a"), F.col("y").alias("m"), F.round("score", 9).alias("score")).join(texts, "m").select("m", "a", "score", "recordings_id").unionByName(equal)
     # the best name is the same for all artists of one name
     return lone.join(ids.best_of(near, ["a"], [F.desc("score"), F.asc("recordings_id")]), "a").select("adc_artist_id", "a", "recordings_id", "m", "score")
 

@@ -192,3 +192,16 @@ def test_empty_tables_and_nulls(spark, folder):
     d = folder(adcworks=([], works), tracks=([("T1", None, None, None), (None, "X", None, None)], "track_id string, title string, iswc string, extra string"))
     assert plans.ref_canonical_matches(spark, d).count() == plans.ref_full_title_exact(spark, d).count() == plans.ref_round_variants(spark, d).count() == 0
     assert linkage.band_titles(plans.variant_titles(table(spark, d, "adcworks"), "apra_work_id"), plans.variant_titles(table(spark, d, "tracks"), "track_id")).count() == 0
+
+
+def test_equal_names_need_no_search(spark, folder, monkeypatch):
+    """A name that a recording has is its own best; only the others are compared with those that begin alike."""
+    d = folder(
+        adcartists=([("W1", "A1", "ANNA UNDERHILL", None), ("W2", "A2", "ANNA UNDERHIL", "T0345246801"), ("W3", "A3", "ANNA UNDERHILL", "")], "apra_work_id string, adc_artist_id string, name string, iswc string"),
+        recordings=([("R2", "ANNA UNDERHILL", None), ("R1", "ANNA UNDERHILL", "T9"), ("R3", "ANNA UNDERHILLS", None), ("R4", None, None)], "recordings_id string, artist_name string, iswc string"),
+    )
+    search, looked = plans.pairs.near_pairs, []
+    monkeypatch.setattr(plans.pairs, "near_pairs", lambda x, *rest: looked.extend(r.t for r in x.collect()) or search(x, *rest))
+    got = {r.adc_artist_id: (r.a, r.recordings_id, r.m, r.score) for r in plans.ref_best_without_code(spark, d).collect()}
+    assert looked == ["ANNA UNDERHIL"] and set(got) == {"A1", "A2", "A3"}
+    assert got["A1"] == got["A3"] == ("ANNA UNDERHILL", "R1", "ANNA UNDERHILL", 1.0) and got["A2"][1] == "R1" and got["A2"][3] < 1
