@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.chars import bare
 from ..functions.splitting import cached_splitter, is_placeholder
 from ..operators.split import known_names
-from ..runtime import bounded_rows, bounded_sample, clean_id, cut, drop_cut, release, settled, table
+from ..runtime import bounded_rows, bounded_sample, clean_id, cut, cut_each, drop_cut, release, settled, table
 from .variants import lead_words, named_words, parse_name
 
 SEED = 11
@@ -38,6 +38,8 @@ LONGEST, COMPANY = 4.0, 0.5
 VIEW_BITS, ID_BITS, WHOLE_BITS, WHOLE_TABLES = 28, 40, 20, 4
 #: Rows of one side in a bucket from which on its other side is repeated for parts of it.
 BUCKET_ROWS = 2_000
+#: Shares of the buckets, and then of the works, that are gone through one after the other: all of them, but what they shuffle is not on disk at once.
+BUCKET_SHARES, WORK_SHARES = 4, 8
 #: Signs of two titles that may differ (of 63) for a pair to be compared: a cosine of zero differs in 31.5 on average, so what is left out are titles that are no more alike
 #: than any two.
 TITLE_SIGNS = 31
@@ -369,28 +371,37 @@ def hashed(recs: DataFrame, trained: np.ndarray | None = None) -> DataFrame:
 
 
 # --- pairs --------------------------------------------------------------------------------------------------------------------------
-def candidates(h: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(work, track) of different sides, by `rid`, that share a bucket and whose titles may be alike by their signs, or that share an identifier's.
+def _share(of: str, i: int, n: int):
+    return F.pmod(F.xxhash64(F.col(of), F.lit("share")), F.lit(n)) == i
+
+
+def meetings(h: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(work, track) of different sides, by `rid`, once for each bucket that they share, if their titles may be alike by their signs or the bucket is an identifier's; a cut.
 
     A bucket with more works than bucket_rows is split by their hash, and its tracks are repeated for every part; no bucket meets in one task and none is cut.
     """
-    keyed = h.select((F.col("side") == "a").alias("work"), "rid", F.explode("keys").alias("key"))
+    keyed = h.select((F.col("side") == "a").alias("work"), "rid", "signs", F.explode("keys").alias("key"))
     # most buckets hold records of one side only; they go no further than their counts
     both = keyed.groupBy("key").agg(F.count_if("work").cast("int").alias("a"), F.count_if(~F.col("work")).cast("int").alias("m")).where("a > 0 and m > 0")
     both = cut(both.select("key", F.ceil(F.col("a") / bucket_rows).cast("int").alias("parts")))
     release(h.sparkSession)
-    met = keyed.join(both, "key")
-    a = met.where("work").select("key", F.col("rid").alias("work"), F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int").alias("part"))
-    m = met.where("not work").select("key", F.col("rid").alias("track"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    pairs = cut(a.join(m, ["key", "part"]).groupBy("work", "track").agg(F.max(F.shiftright("key", 56) == 60).alias("told")))
-    # the buckets of all records are shuffled no longer once their pairs are written
-    del met, a, m
+
+    def of(i: int) -> DataFrame:
+        met = keyed.where(_share("key", i, BUCKET_SHARES)).join(both, "key")
+        a = met.where("work").select("key", F.col("rid").alias("work"), F.col("signs").alias("sa"), F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int").alias("part"))
+        m = met.where("not work").select("key", F.col("rid").alias("track"), F.col("signs").alias("sm"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        # by their signs as soon as they meet, so that others are not shuffled
+        near = F.bit_count(F.col("sa").bitwiseXOR(F.col("sm"))) <= TITLE_SIGNS
+        return a.join(m, ["key", "part"]).where(near | (F.shiftright("key", 56) == 60)).select("work", "track")
+
+    pairs = cut_each(of(i) for i in range(BUCKET_SHARES))
     drop_cut(both)
-    del both
-    release(h.sparkSession)
-    signs = lambda n, c: h.select(F.col("rid").alias(n), F.col("signs").alias(c))
-    near = F.bit_count(F.col("sa").bitwiseXOR(F.col("sm"))) <= TITLE_SIGNS
-    return pairs.join(signs("work", "sa"), "work").join(signs("track", "sm"), "track").where(near | F.col("told")).select("work", "track")
+    return pairs
+
+
+def candidates(h: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """The distinct pairs of meetings."""
+    return meetings(h, bucket_rows).distinct()
 
 
 def _cosine(left, right):
@@ -405,32 +416,38 @@ def _cosine(left, right):
 
 
 def compare(spark, sf_dir: str, trained: np.ndarray | None = None) -> DataFrame:
-    """Pairs that share a bucket, with the exact cosines of their vectors and titles and how their persons agree."""
+    """Pairs that share a bucket, with the exact cosines of their vectors and titles and how their persons agree; a cut."""
     recs = settled(lambda: records(spark, sf_dir))
     h = cut(hashed(recs, trained))
     drop_cut(recs)
-    pairs = cut(candidates(h))
     release(spark)
-    slim = h.select(
-        "rid", "side", F.xxhash64("core").alias("title_hash"), F.length("core").alias("letters"), F.xxhash64("code").alias("code_hash"), F.col("code").isNotNull().alias("coded"), "vec", "title_vec",
+    pairs = meetings(h)
+    slim = cut(h.select(
+        "rid", "side", "stored", F.xxhash64("core").alias("title_hash"), F.length("core").alias("letters"), F.xxhash64("code").alias("code_hash"), F.col("code").isNotNull().alias("coded"), "vec", "title_vec",
         F.transform("writers", lambda p: F.xxhash64(p)).alias("writers"), F.transform("artists", lambda p: F.xxhash64(p)).alias("artists"),
-    )
+    ))
+    drop_cut(h)
     side = lambda s, p: slim.where(F.col("side") == s).select(F.col("rid").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in slim.columns[2:]))
-    full = pairs.join(side("a", "work"), "work").join(side("m", "track"), "track")
     shared = lambda c: F.size(F.array_intersect(f"work_{c}", f"track_{c}"))
     least = lambda c: F.least(F.size(f"work_{c}"), F.size(f"track_{c}"))
     most = lambda c: F.greatest(F.size(f"work_{c}"), F.size(f"track_{c}"))
     either = lambda p: F.array_union(f"{p}_writers", f"{p}_artists")
     both_coded, both_titled = F.col("work_coded") & F.col("track_coded"), (F.coalesce("work_letters", F.lit(0)) > 0) & (F.coalesce("track_letters", F.lit(0)) > 0)
-    scored = cut(full.select(
-        "work", "track", (both_coded & (F.col("work_code_hash") == F.col("track_code_hash"))).alias("same_code"), (both_coded & (F.col("work_code_hash") != F.col("track_code_hash"))).alias("other_code"),
-        _cosine("work_vec", "track_vec").alias("cosine"), F.when(both_titled, _cosine("work_title_vec", "track_title_vec")).otherwise(0.0).alias("title"),
-        (both_titled & (F.col("work_title_hash") == F.col("track_title_hash"))).alias("same_title"), F.coalesce(F.least("work_letters", "track_letters"), F.lit(0)).alias("letters"),
-        shared("writers").alias("writers"), least("writers").alias("least_writers"), most("writers").alias("most_writers"), shared("artists").alias("artists"), least("artists").alias("least_artists"),
-        F.size(F.array_intersect(either("work"), either("track"))).alias("persons"),
-    ))
-    ids = lambda p, name: h.select(F.col("rid").alias(p), F.col("stored").alias(name))
-    return scored.join(ids("work", "apra_work_id"), "work").join(ids("track", "muzooka_track_id"), "track").drop("work", "track")
+
+    def of(i: int) -> DataFrame:
+        # one shuffle by work makes pairs distinct and joins them
+        mine = pairs.where(_share("work", i, WORK_SHARES)).repartition("work").distinct()
+        full = mine.join(side("a", "work").where(_share("work", i, WORK_SHARES)), "work").join(side("m", "track"), "track")
+        return full.select(
+            F.col("work_stored").alias("apra_work_id"), F.col("track_stored").alias("muzooka_track_id"),
+            (both_coded & (F.col("work_code_hash") == F.col("track_code_hash"))).alias("same_code"), (both_coded & (F.col("work_code_hash") != F.col("track_code_hash"))).alias("other_code"),
+            _cosine("work_vec", "track_vec").alias("cosine"), F.when(both_titled, _cosine("work_title_vec", "track_title_vec")).otherwise(0.0).alias("title"),
+            (both_titled & (F.col("work_title_hash") == F.col("track_title_hash"))).alias("same_title"), F.coalesce(F.least("work_letters", "track_letters"), F.lit(0)).alias("letters"),
+            shared("writers").alias("writers"), least("writers").alias("least_writers"), most("writers").alias("most_writers"), shared("artists").alias("artists"), least("artists").alias("least_artists"),
+            F.size(F.array_intersect(either("work"), either("track"))).alias("persons"),
+        )
+
+    return cut_each(of(i) for i in range(WORK_SHARES))
 
 
 #: What is believed before any labelled pair is seen: that pairs of alike titles with a person in common are the same and others not, for each of these cosines of titles and

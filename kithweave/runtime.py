@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,8 +43,23 @@ def cut(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return out
 
 
+def cut_each(parts: Iterable[DataFrame]) -> DataFrame:
+    """The rows of all parts as one cut. Parts are made and written one after the other, and what one shuffles is off the disk when the next begins."""
+    path = out = None
+    for df in parts:
+        path = path or f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+        df.write.mode("append").parquet(path)
+        out = df.sparkSession.read.schema(df.schema).parquet(path)
+        del df
+        release(out.sparkSession)
+    out._kithweave_path = path
+    if _OPEN:
+        _OPEN[-1].append(out)
+    return out
+
+
 def settled(make: Callable[[], DataFrame | tuple[DataFrame, ...]]) -> DataFrame | tuple[DataFrame, ...]:
-    """The result of `make`, or each of several, as a cut; the cuts that were made on the way to it are removed, so only results stay in the shared folder."""
+    """The result of `make`, or each of several, as a cut, itself if it is one; the cuts that were made on the way to it are removed, so only results stay in the shared folder."""
     _OPEN.append([])
     try:
         df, inner = make(), _OPEN[-1]
@@ -53,10 +69,14 @@ def settled(make: Callable[[], DataFrame | tuple[DataFrame, ...]]) -> DataFrame
         raise
     _OPEN.pop()
     several = isinstance(df, tuple)
-    out = tuple(map(cut, df if several else (df,)))
+    out = tuple(map(kept, df if several else (df,)))
+    paths = {d._kithweave_path for d in out}
     c = None
     for c in inner:
-        drop_cut(c)
+        if c._kithweave_path not in paths:
+            drop_cut(c)
+    if _OPEN:  # a result that `make` cut itself belongs to the outer call now
+        _OPEN[-1].extend(d for d in out if not any(d is o for o in _OPEN[-1]))
     # the shuffle files of what led there go with its plans, once nothing refers to these
     del df, inner, c
     release(out[0].sparkSession)
@@ -64,9 +84,12 @@ def settled(make: Callable[[], DataFrame | tuple[DataFrame, ...]]) -> DataFrame
 
 
 def release(spark: SparkSession) -> None:
-    """Collects the driver's garbage: the shuffle files of plans that nothing refers to any more are removed with them. Between two cuts that shuffle much, so that both aren't on disk at once."""
+    """Collects the driver's garbage: the shuffle files of plans that nothing refers to any more are removed with them. Between two cuts that shuffle much, so that both aren't on disk at once.
+    Twice, as the first collection only lets go of the plan that ran last."""
     gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        spark._jvm.System.gc()
+        time.sleep(0.1)
 
 
 def kept(df: DataFrame) -> DataFrame:

@@ -29,3 +29,14 @@ def test_persons_are_one_however_spelt(spark, folder):
     lead = {r.node: set(r.leads) for r in variants.lead_words(named).collect()}
     got = {r.value: lead[r.node] for r in named.collect()}
     assert all("UNDERHILER" in got[v] for v in values if "UNDERHIL" in v) and "BROSTIN" in got["MATTHEW BROSTIN"] and not got["MATTHEW KVADREN"] & {"UNDERHILER", "BROSTIN"}
+
+
+def test_shares_lose_no_pair(spark, monkeypatch):
+    """Buckets are gone through share by share: the pairs are those of all buckets at once."""
+    rows = [(i, "am"[i % 2], ["GOLDEN RIVER", "GOLDEN RIVERS", "HOME", "SILVER LAKE"][i % 4], "T0345246801" if i % 5 == 0 else None, ["UNDERHILL", "MOUNT", "HOME"][: i % 3 + 1], []) for i in range(60)]
+    h = entities.cut(entities.hashed(spark.createDataFrame(rows, RECORD), np.zeros((entities.ROWS, entities.DIM), dtype=np.float32)))
+    got = []
+    for n in (1, 5):
+        monkeypatch.setattr(entities, "BUCKET_SHARES", n)
+        got.append(sorted(tuple(r) for r in entities.candidates(h, bucket_rows=3).collect()))
+    assert got[0] == got[1] and len(got[0]) == len(set(got[0])) > 100

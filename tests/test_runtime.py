@@ -1,9 +1,11 @@
 """Cuts: what they read, what is left in the shared folder, and that a cluster must name one."""
 
 import os
+import time
 from urllib.parse import urlparse
 
 import pytest
+from pyspark.sql import functions as F
 
 from kithweave import runtime
 
@@ -63,3 +65,45 @@ def test_bounded_reads(spark):
         runtime.bounded_rows(spark.range(4), 3, "x")
     rows = runtime.bounded_sample(spark.range(1000), 100, ["id"])
     assert 50 < len(rows) < 200 and rows == runtime.bounded_sample(spark.range(1000), 100, ["id"])
+
+
+def shuffles(spark):
+    return spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+
+
+def freed(spark, before):
+    for _ in range(50):  # the cleaner runs beside
+        if shuffles(spark) <= before:
+            return True
+        time.sleep(0.1)
+    return False
+
+
+@pytest.fixture
+def held_before(spark):
+    """Shuffles that other tests' results still refer to."""
+    for _ in range(3):
+        runtime.release(spark)
+        time.sleep(0.5)
+    return shuffles(spark)
+
+
+def test_release_frees_the_last_step_too(spark, held_before):
+    out = runtime.cut(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    runtime.release(spark)
+    assert freed(spark, held_before) and out.count() == 7
+
+
+def test_parts_become_one_cut(spark, held_before):
+    before, held = left(spark), []
+
+    def parts():
+        for i in range(3):
+            held.append(freed(spark, held_before))
+            yield spark.range(i * 10, i * 10 + 5).repartition(3)
+
+    out = runtime.settled(lambda: runtime.cut_each(parts()))
+    assert sorted(r.id for r in out.collect()) == [i * 10 + j for i in range(3) for j in range(5)] and held == [True] * 3
+    assert len(left(spark) - before) == 1, "a result that is a cut is not written again"
+    runtime.drop_cut(out)
+    assert left(spark) == before
