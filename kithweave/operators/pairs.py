@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.near import near_jaro_winkler, near_names
-from ..runtime import cut, kept, release, settled
+from ..runtime import cut, cut_each, kept, release, settled
 from . import composite
 
 #: Texts of a block that are compared by one matrix; works of a class from which on its tracks are repeated for parts of it.
 CHUNK, CLASS_ROWS = 400, 500
+#: Shares of the works whose names are scored one after the other: all of them, but what they shuffle is not on disk at once.
+SHARES = 4
 #: What products are partitioned by.
 PARTS = ["cls", "_part"]
 SCORERS = {"jaro_winkler": near_jaro_winkler, "names": near_names}
@@ -182,15 +184,24 @@ def matched(a: DataFrame, m: DataFrame, keep: bool = True) -> Matched:
 # --- names ------------------------------------------------------------------------------------------------------------------------
 def hit_scores(a: DataFrame, m: DataFrame, works: DataFrame, tracks: DataFrame, scorer: str) -> DataFrame:
     """(apra_work_id, track_id, apra_part, best): of the pairs of a class of which any two parts of names are alike, each part of the work that is with its best score on the track.
-    With rdc_works_id where works have `before` and tracks `rank`."""
+    With rdc_works_id where works have `before` and tracks `rank`. A cut."""
     given = "rank" in tracks.columns
     p = works.join(a.select("apra_work_id", F.explode("delimited_parts").alias("t")).distinct(), "apra_work_id").select("cls", "apra_work_id", "t", *(["before"] if given else []))
     q = tracks.join(m.select("track_id", F.explode("delimited_parts").alias("t")).distinct(), "track_id").select("cls", "track_id", "t", *(["rank"] if given else []))
     near = cut(near_pairs(p.select(F.col("cls").alias("k"), "t"), q.select(F.col("cls").alias("k"), "t"), composite.LEAST_PART, scorer).withColumnRenamed("k", "cls"))
     release(near.sparkSession)
-    alike = near.join(p.withColumnRenamed("t", "x"), ["cls", "x"]).join(q.withColumnRenamed("t", "y"), ["cls", "y"])
     number = [(F.col("before") + F.col("rank")).alias("rdc_works_id")] if given else []
-    return alike.groupBy("apra_work_id", "track_id", F.col("x").alias("apra_part"), *number).agg(F.max("score").alias("best"))
+
+    def of(i: int) -> DataFrame:
+        alike = near.join(shared(p, i).withColumnRenamed("t", "x"), ["cls", "x"]).join(q.withColumnRenamed("t", "y"), ["cls", "y"])
+        return alike.groupBy("apra_work_id", "track_id", F.col("x").alias("apra_part"), *number).agg(F.max("score").alias("best"))
+
+    return cut_each(of(i) for i in range(SHARES))
+
+
+def shared(df: DataFrame, i: int) -> DataFrame:
+    """The rows of the works of share i."""
+    return df.where(F.pmod(F.xxhash64("apra_work_id", F.lit("share")), F.lit(SHARES)) == i)
 
 
 def without(works: DataFrame, hits: DataFrame) -> DataFrame:
@@ -211,12 +222,13 @@ def names_over(a: DataFrame, m: DataFrame, works: DataFrame, tracks: DataFrame,
     best = settled(lambda: hit_scores(a, m, works, tracks, scorer))
     hits = best.select("apra_work_id", "track_id").distinct()
 
-    def scored() -> DataFrame:
+    def scored(i: int) -> DataFrame:
         match = composite.match_composers if kind == "composers" else composite.match_artists
-        told = match(a, m, hits, scorer, best.select("apra_work_id", "track_id", "apra_part", "best").distinct() if given else best)
-        return told.join(best.select("apra_work_id", "track_id", "rdc_works_id").distinct(), ["apra_work_id", "track_id"]) if given else told
+        ours = shared(best, i)
+        told = match(shared(a, i), m, ours.select("apra_work_id", "track_id").distinct(), scorer, ours.select("apra_work_id", "track_id", "apra_part", "best").distinct() if given else ours)
+        return told.join(ours.select("apra_work_id", "track_id", "rdc_works_id").distinct(), ["apra_work_id", "track_id"]) if given else told
 
-    told = settled(scored)
+    told = cut_each(scored(i) for i in range(SHARES))
     zero = F.lit(0.0)
     if kind == "composers":
         names = a.groupBy("apra_work_id", "entity_id").agg(F.max("total_names").alias("apra_total"))

@@ -69,6 +69,21 @@ def test_names_over_classes_are_those_over_pairs(spark, sides, kind, scorer):
     assert sorted(map(str, got.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
 
 
+def test_names_are_scored_in_shares_of_works(spark, sides, monkeypatch):
+    """Share by share gives the rows of all works at once, and every share is written before the next."""
+    one = lambda rows, key: composite.count_parts(composite.expand_names(spark.createDataFrame(rows, f"{key} string, entity_id string, nm string"), "nm", "artist"), key)
+    a = one([(w, f"A{w}", n) for w, n in (("W1", "ANNA UNDERHILL & BENNO STRANDVIK"), ("W1", "DORA"), ("W2", "EVA MOUNTJOY"), ("W3", "EVA MOUNTJOY"))], "apra_work_id")
+    m = one([("T1", "1", "ANNA UNDERHILL"), ("T2", "3", "BENNO STRANDVIK"), ("T3", "4", "EVA MOUNTJOY"), ("T4", "5", "EVA MOUNTJOY & DORA")], "track_id")
+    works, tracks = pairs.matched(*sides).sides()
+    got, parts = [], []
+    each = pairs.cut_each
+    monkeypatch.setattr(pairs, "cut_each", lambda of: each(parts.append(d) or d for d in of))
+    for n in (1, 3):
+        monkeypatch.setattr(pairs, "SHARES", n)
+        got.append(sorted(map(str, pairs.names_over(a, m, works, tracks, "artists", "jaro_winkler").collect())))
+    assert got[0] == got[1] and sum("part_match_score=1.0" in r for r in got[0]) > 3 and len(parts) == 2 * 1 + 2 * 3
+
+
 def test_hot_class_is_cut_into_parts(spark, monkeypatch):
     monkeypatch.setattr(pairs, "CLASS_ROWS", 10)
     w, t = spark.range(100).selectExpr("'c' cls", "string(id) apra_work_id"), spark.range(7).selectExpr("'c' cls", "string(id) track_id")
